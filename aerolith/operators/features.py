@@ -143,9 +143,12 @@ def _derived(spec: SeriesSpec, ordered) -> list[Column]:
 def series_features(
     df: DataFrame, spec: SeriesSpec, keys: Sequence[str] = ("region",), order: str = "timestamp",
     complete: bool = True, block_rows: int | None = None, bucket: str = "hour", tie: Sequence[str] = (),
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Add the spec's features per key; with ``complete``, keep complete rows only.
 
+    ``optional`` columns may be missing in a complete row.
+
     The window runs over whole keys only when the spec proves them short.  Otherwise, or
     when ``block_rows`` is given, over blocks of rows with borrowed edges - same result.
     """
@@ -160,7 +163,7 @@ def series_features(
         cut = row_blocks(out, keys, order, spec.back, spec.ahead, block_rows or 100_000, bucket, tie)
         ordered = Window.partitionBy(*keys, BLOCK).orderBy(order, *tie)
         out = own_rows(cut.select("*", *_derived(spec, ordered)))
-    return out.dropna(how="any") if complete else out
+    return out.dropna(how="any", subset=[c for c in out.columns if c not in optional]) if complete else out
 
 
 def add_calendar(
@@ -172,12 +175,14 @@ def add_calendar(
 
 def table_features(df: DataFrame, table: str, keys: Sequence[str] = ("region",), **options) -> DataFrame:
     """Features of one of the eight series tables, by table name."""
+    # The index beside an hourly concentration is NULL where the index table ends.
+    options.setdefault("optional", ("pm25_aqi",))
     return series_features(df, SERIES[table], keys, **options)
 
 
 def seasonal_features(df: DataFrame, table: str, hour: str = "hour", **options) -> DataFrame:
     """Features per (region, hour of day): lag 1 is the same hour one day earlier."""
-    return series_features(df, SERIES[table], ("region", hour), **options)
+    return table_features(df, table, ("region", hour), **options)
 
 
 def multi_horizon_targets(df: DataFrame, keys: Sequence[str] = ("region",), horizons=C.TARGET_HORIZONS, **options):

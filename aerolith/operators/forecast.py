@@ -116,7 +116,9 @@ def recursive_forecast(
     current = state.withColumn("_steps", _empty_steps(state))
     for k in range(1, days + 1):
         current = _step(current, k, scorer, keys, shortened, value)
-    rows = current.select(*keys, F.inline("_steps"))
+    # The outer form: for plain inline the optimizer would infer a filter on the array and
+    # push it down by substituting all steps into one another.
+    rows = current.select(*keys, F.inline_outer("_steps"))
     return rows.filter(F.col("timestamp").isNotNull())
 
 
