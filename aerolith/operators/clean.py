@@ -53,9 +53,23 @@ def drop_existing(df: DataFrame, unwanted: Iterable[str]) -> DataFrame:
     return df.drop(*unwanted)
 
 
-def complete_cases(df: DataFrame) -> DataFrame:
-    """Rows without a missing value in any column."""
-    return df.dropna(how="any")
+def complete_cases(df: DataFrame, optional: Iterable[str] = ()) -> DataFrame:
+    """Rows without a missing value in any column but the optional ones.
+
+    One predicate per column.  ``dropna`` would put all columns into one expression, for
+    which the optimizer derives constraints in every combination of aliases: with 40 derived
+    columns, planning a join on top of it takes longer than running it.
+    """
+    skipped = set(optional)
+    condition = None
+    for field in df.schema.fields:
+        if field.name in skipped:
+            continue
+        present = F.col(f"`{field.name}`").isNotNull()
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            present = present & ~F.isnan(F.col(f"`{field.name}`"))
+        condition = present if condition is None else condition & present
+    return df if condition is None else df.filter(condition)
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

@@ -17,6 +17,7 @@ from aerolith import constants as C
 from aerolith.functions.angles import wind_u, wind_v
 from aerolith.functions.times import calendar_columns, day_sequence, local_clock
 from aerolith.operators.blocks import BLOCK, day_blocks, own_rows, row_blocks
+from aerolith.operators.clean import complete_cases
 
 # A series known to stay below this many rows per key is left in one window partition:
 # a few seconds of work for a task.  Everything else is cut into blocks.
@@ -163,7 +164,7 @@ def series_features(
         cut = row_blocks(out, keys, order, spec.back, spec.ahead, block_rows or 100_000, bucket, tie)
         ordered = Window.partitionBy(*keys, BLOCK).orderBy(order, *tie)
         out = own_rows(cut.select("*", *_derived(spec, ordered)))
-    return out.dropna(how="any", subset=[c for c in out.columns if c not in optional]) if complete else out
+    return complete_cases(out, optional) if complete else out
 
 
 def add_calendar(

@@ -67,12 +67,19 @@ data struct<aqi: int, dominentpol: string, time: struct<iso: string>, iaqi: map<
 """
 
 
+# Patterns of the period column; the leading letter keeps a year from reading as a number.
+YEARLY = "'y'yyyy"
+MONTHLY = "'y'yyyy-MM"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A keyed, versioned feature table.
 
-    Files are laid out by ``region`` (or the given columns) and calendar month, so that a
-    daily upsert rewrites one month of the touched regions and nothing else.
+    Files are laid out by ``region`` (or the given columns) and calendar period, so that a
+    daily upsert rewrites the current period of the touched regions and nothing else.
+    Daily tables take a year per folder, hourly ones a month: 365 and about 730 rows per
+    region, and far more where the partition column is finer than a region.
     """
 
     name: str
@@ -80,6 +87,7 @@ class TableSpec:
     keys: tuple[str, ...]
     event_time: str = "timestamp"
     partition_by: tuple[str, ...] = ("region",)
+    period: str = YEARLY
     description: str = ""
     comments: dict[str, str] = field(default_factory=dict)
 
@@ -89,13 +97,13 @@ _SERIES_KEY = ("region", "timestamp")
 FEATURE_TABLES = {
     spec.name: spec
     for spec in (
-        TableSpec("pm25_hourly", 4, _SERIES_KEY, description="Hourly PM2.5 per region with features"),
+        TableSpec("pm25_hourly", 4, _SERIES_KEY, period=MONTHLY, description="Hourly PM2.5 per region with features"),
         TableSpec("pm25_daily", 4, _SERIES_KEY, description="Daily PM2.5 index per region with features"),
-        TableSpec("wind_speed_hourly", 4, _SERIES_KEY, description="Hourly wind speed per region with features"),
+        TableSpec("wind_speed_hourly", 4, _SERIES_KEY, period=MONTHLY, description="Hourly wind speed per region with features"),
         TableSpec("wind_speed_daily", 4, _SERIES_KEY, description="Daily wind speed per region with features"),
-        TableSpec("wind_direction_hourly", 4, _SERIES_KEY, description="Hourly wind direction with features"),
+        TableSpec("wind_direction_hourly", 4, _SERIES_KEY, period=MONTHLY, description="Hourly wind direction with features"),
         TableSpec("wind_direction_daily", 4, _SERIES_KEY, description="Daily wind direction with features"),
-        TableSpec("air_temperature_hourly", 4, _SERIES_KEY, description="Hourly air temperature with features"),
+        TableSpec("air_temperature_hourly", 4, _SERIES_KEY, period=MONTHLY, description="Hourly air temperature with features"),
         TableSpec("air_temperature_daily", 4, _SERIES_KEY, description="Daily air temperature with features"),
         TableSpec(
             "aq_predictions", 9, ("region", "timestamp", "days_before_forecast_day"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -12,17 +13,17 @@ from aerolith.operators.clean import describe_columns
 from aerolith.operators.merge import keep_first
 from aerolith.operators.quality import require_minima
 from aerolith.schemas import FEATURE_TABLES, TableSpec
-from aerolith.sources.tables import MONTH, table_exists, table_path
+from aerolith.sources.tables import PERIOD, table_exists, table_path
 
 
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add the month column and gather each directory's rows.
+    """Add the period column and gather each directory's rows.
 
     ``rebalance`` lets AQE split a directory that holds most of the rows over several tasks
     and merge small ones, so a dominant region is never written by a single task.
     """
-    dated = df.withColumn(MONTH, F.date_format(spec.event_time, "yyyy-MM"))
-    return dated.hint("rebalance", *spec.partition_by, MONTH)
+    dated = df.withColumn(PERIOD, F.date_format(spec.event_time, spec.period))
+    return dated.hint("rebalance", *spec.partition_by, PERIOD)
 
 
 def _write(df: DataFrame, spec: TableSpec, root: str) -> None:
@@ -30,7 +31,7 @@ def _write(df: DataFrame, spec: TableSpec, root: str) -> None:
         _laid_out(describe_columns(df, spec.comments), spec)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*spec.partition_by, MONTH)
+        .partitionBy(*spec.partition_by, PERIOD)
         .parquet(table_path(root, spec.name, spec.version))
     )
     df.sparkSession.catalog.refreshByPath(table_path(root, spec.name, spec.version))
@@ -46,7 +47,7 @@ def create_table(df: DataFrame, spec: TableSpec, root: str) -> None:
 def upsert(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str] = (), expectations=()) -> bool:
     """Insert rows, replacing stored rows of equal key.  False if there was nothing to do.
 
-    Only directories (region, month) that the batch touches are read and rewritten.  With
+    Only directories (region, period) that the batch touches are read and rewritten.  With
     dynamic overwrite Spark writes aside and swaps directories when the job commits, so
     reading the same table in the job is safe, and a batch sent twice changes nothing.
     ``order`` decides which of several batch rows of one key stays (descending).
@@ -62,16 +63,16 @@ def upsert(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str] = (),
         if not table_exists(spark, root, spec.name, spec.version):
             _write(batch, spec, root)
             return True
-        months = batch.withColumn(MONTH, F.date_format(spec.event_time, "yyyy-MM"))
-        touched = months.select(*spec.partition_by, MONTH).distinct()
-        first, last = months.agg(F.min(MONTH), F.max(MONTH)).first()
+        periods = batch.withColumn(PERIOD, F.date_format(spec.event_time, spec.period))
+        touched = periods.select(*spec.partition_by, PERIOD).distinct()
+        first, last = periods.agg(F.min(PERIOD), F.max(PERIOD)).first()
         stored = spark.read.parquet(table_path(root, spec.name, spec.version))
         kept = (
-            # A literal month range prunes the file listing; the semi join settles the rest.
-            stored.filter(F.col(MONTH).between(first, last))
-            .join(touched, [*spec.partition_by, MONTH], "left_semi")
+            # A literal range of periods prunes the file listing; the semi join settles the rest.
+            stored.filter(F.col(PERIOD).between(first, last))
+            .join(touched, [*spec.partition_by, PERIOD], "left_semi")
             .join(batch.select(*spec.keys), list(spec.keys), "left_anti")
-            .drop(MONTH)
+            .drop(PERIOD)
         )
         _write(batch.unionByName(kept, allowMissingColumns=True), spec, root)
         return True
@@ -85,6 +86,6 @@ def upsert_all(tables: Mapping[str, DataFrame], root: str, version: int | None =
     for name, df in tables.items():
         spec = FEATURE_TABLES[name]
         if version is not None:
-            spec = TableSpec(name, version, spec.keys, spec.event_time, spec.partition_by, spec.description, spec.comments)
+            spec = replace(spec, version=version)
         done[name] = upsert(df, spec, root)
     return done

@@ -8,7 +8,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONTH = "month_key"
+from aerolith.schemas import MONTHLY
+
+PERIOD = "period_key"
 DAILY_TABLES = ("pm25_daily", "wind_direction_daily", "wind_speed_daily", "air_temperature_daily")
 
 
@@ -45,7 +47,7 @@ def read_table(
 ) -> DataFrame:
     """A stored table, or the part of it after ``since`` and before ``before``.
 
-    Time bounds prune whole months of files and are pushed into the Parquet scan besides.
+    Time bounds prune whole folders of files and are pushed into the Parquet scan besides.
     """
     version = latest_version(spark, root, name) if version is None else version
     df = spark.read.parquet(table_path(root, name, version))
@@ -53,14 +55,15 @@ def read_table(
         if bound is None:
             continue
         value = F.lit(bound).cast(df.schema[event_time].dataType)
-        month = F.date_format(value, "yyyy-MM")
+        # A folder's name is as long as its period: a year, or a year and a month.
+        period = F.substring(F.date_format(value, MONTHLY), F.lit(1), F.length(PERIOD))
         if is_lower:
-            df = df.filter((F.col(MONTH) >= month) & (F.col(event_time) >= value))
+            df = df.filter((F.col(PERIOD) >= period) & (F.col(event_time) >= value))
         else:
-            df = df.filter((F.col(MONTH) <= month) & (F.col(event_time) < value))
+            df = df.filter((F.col(PERIOD) <= period) & (F.col(event_time) < value))
     if regions is not None:
         df = df.filter(F.col("region").isin(*regions))
-    df = df.drop(MONTH)
+    df = df.drop(PERIOD)
     return df.select(*columns) if columns else df
 
 

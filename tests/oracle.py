@@ -33,7 +33,7 @@ def _normal(df: pd.DataFrame) -> list[tuple]:
     for row in df.itertuples(index=False):
         values = []
         for v in row:
-            if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+            if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
                 values.append(None)
             elif isinstance(v, pd.Timestamp):
                 values.append(str(v))
