@@ -1,9 +1,9 @@
 """Recursive multi-day forecast.
 
 Each region is one row: its last 28 values as an array, the coming days' weather as an
-array of at most 7.  A forecast step appends a value to the array.  All steps of all
-regions are therefore one chain of row-local projections: no join, shuffle or checkpoint
-between steps, and the plan grows linearly with the number of days.
+array of at most 7.  A forecast step appends a value to the array.  A step is therefore a
+row-local projection over all regions, without a join or shuffle, and with one model the
+whole week is a single chain of them whose plan grows linearly with the number of days.
 """
 
 from __future__ import annotations
@@ -123,15 +123,21 @@ def recursive_forecast(
 
 
 def forecast_regions(
-    state: DataFrame, scorers: Mapping[str, Scorer], days: int = 7, shortened: bool = False
+    state: DataFrame, scorers: Mapping[str, Scorer], days: int = 7, shortened: bool = False, value: str = "pm25"
 ) -> DataFrame:
-    """Forecasts of all regions, each by its own model."""
-    base = materialize(state)  # one row per region, read once per model
-    out = None
-    for region, scorer in scorers.items():
-        part = recursive_forecast(base.filter(F.col("region") == region), scorer, days, shortened=shortened)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Forecasts of all regions, each by its own model.
+
+    Every step scores all regions in one job and stores the state, one row per region:
+    planning a week for each of several models in one piece takes longer than running it.
+    """
+    current = materialize(state.withColumn("_steps", _empty_steps(state)))
+    for k in range(1, days + 1):
+        stepped = None
+        for region, scorer in scorers.items():
+            part = _step(current.filter(F.col("region") == region), k, scorer, ["region"], shortened, value)
+            stepped = part if stepped is None else stepped.unionByName(part)
+        current = materialize(stepped)
+    return current.select("region", F.inline("_steps")).filter(F.col("timestamp").isNotNull())
 
 
 def linear_scorer(weights: Mapping[str, float], intercept: float = 0.0) -> Scorer:

@@ -73,14 +73,12 @@ def features_of(model: PipelineModel) -> list[str]:
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the prediction; features the table lacks count as missing."""
-    features = features_of(model)
-    absent = [c for c in features if c not in df.columns]
-    wide = df.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else df
-    wide = wide.withColumns({f"{c}__kept": F.col(c) for c in features if c not in absent})
-    wide = wide.withColumns({c: F.col(c).cast("double") for c in features})
-    scored = model.transform(wide)
-    kept = [F.col(f"{c}__kept").alias(c) if c in features else F.col(c) for c in df.columns]
-    return scored.select(*kept, PREDICTION)
+    features, present = features_of(model), set(df.columns)
+    others = [F.col(c) for c in df.columns if c not in features]
+    kept = [F.col(c).alias(f"{c}__kept") for c in features if c in present]
+    numbers = [(F.col(c) if c in present else F.lit(None)).cast("double").alias(c) for c in features]
+    scored = model.transform(df.select(*others, *kept, *numbers))
+    return scored.select(*[F.col(f"{c}__kept").alias(c) if c in features else F.col(c) for c in df.columns], PREDICTION)
 
 
 def fit_regions(

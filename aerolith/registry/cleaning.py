@@ -175,12 +175,11 @@ def wind_components(spark, sf_dir):
     "index_points",
     """WITH points(x, index) AS (VALUES (0, 0), (12, 50), (13, 52), (35, 99), (36, 101), (55, 149), (56, 150), (99, 173),
        (149, 199), (150, 200), (199, 249))
-    SELECT event_id, index FROM events JOIN points ON CAST(floor(value) AS INTEGER) = x""",
+    SELECT event_id, index FROM events LEFT JOIN points ON CAST(floor(value) AS INTEGER) = x""",
 )
 def index_points(spark, sf_dir):
-    """Readings at concentrations whose index is given as a literal."""
-    whole = F.floor("value")
-    listed = whole.isin(0, 12, 13, 35, 36, 55, 56, 99, 149, 150, 199)
-    return a.table(spark, sf_dir, "events").filter(listed).select(
-        "event_id", concentration_to_index(F.col("value")).alias("index")
+    """Index of the readings at concentrations whose index the SQL gives as a literal."""
+    listed = F.floor("value").isin(0, 12, 13, 35, 36, 55, 56, 99, 149, 150, 199)
+    return a.table(spark, sf_dir, "events").select(
+        "event_id", F.when(listed, concentration_to_index(F.col("value"))).alias("index")
     )

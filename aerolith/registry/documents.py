@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from aerolith import schemas
 from aerolith.functions.times import hour_start, local_clock
+from aerolith.operators.merge import merge_station_metadata
 from aerolith.registry import query
 from aerolith.registry import adapters as a
+from aerolith.registry.rollups import index_sql
 from aerolith.sources import landing
 
 PAGE_ROWS = 200
@@ -71,8 +73,6 @@ def nested_readings_explode(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id // {PAGE_ROWS} % 7 DESC, event_id) = 1""",
 )
 def station_mentions_merge(spark, sf_dir):
-    from aerolith.operators.merge import merge_station_metadata
-
     pages = station_pages(spark, sf_dir)
     mentions = landing.station_mentions(pages, F.col("page") % 7, F.col("page"))
     return merge_station_metadata(mentions, fields=("name", "device_id"))
@@ -117,15 +117,12 @@ def unpivot_regions(spark, sf_dir):
 
 @query(
     "unpivot_regions_as_index",
-    f"""WITH {_REGION_HOURS} SELECT "timestamp", CAST("timestamp" AS DATE) AS date, region, CASE floor(pm25)
-       WHEN 12 THEN 50 WHEN 35 THEN 99 WHEN 55 THEN 149 ELSE 173 END AS pm25
-    FROM hours WHERE floor(pm25) IN (12, 35, 55, 99, 100) AND region <> 'national'""",
+    f"""WITH {_REGION_HOURS} SELECT "timestamp", CAST("timestamp" AS DATE) AS date, region, {index_sql('pm25')} AS pm25
+    FROM hours WHERE region <> 'national'""",
 )
 def unpivot_regions_as_index(spark, sf_dir):
     wide = landing.region_readings_wide(region_pages(spark, sf_dir))
-    wide = wide.withColumn("timestamp", local_clock(F.col("timestamp"), "UTC"))
-    # Index values that the SQL can state as literals, with all concentrations they stand for.
-    return landing.wide_to_long(wide).filter(F.col("pm25").isin(50, 99, 149, 173))
+    return landing.wide_to_long(wide.withColumn("timestamp", local_clock(F.col("timestamp"), "UTC")))
 
 
 @query(

@@ -126,11 +126,11 @@ def predictions(daily):
     SELECT p.region, p."timestamp", p.days_before_forecast_day, {a.sql_round('p.predicted_pm25', 'predicted_pm25')},
            {a.sql_round('d.pm25', 'pm25')}
     FROM predictions p JOIN daily d ON p.region = d.region AND p."timestamp" = d."timestamp"
-    WHERE p.predicted_pm25 IS NOT NULL AND p.region = 'ASIA'""",
+    WHERE p.predicted_pm25 IS NOT NULL""",
 )
 def hindcast(spark, sf_dir):
     daily = a.materialize(a.daily(spark, sf_dir))
-    return a.rounded(joins.hindcast(predictions(daily), daily, "ASIA"))
+    return a.rounded(joins.hindcast(predictions(daily), daily))
 
 
 _METRICS = f"""count(*) AS n, {a.sql_round('avg((pm25 - predicted_pm25)**2)', 'mse')},

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from aerolith.operators.features import add_calendar, table_features
-from aerolith.operators.forecast import forecast_state, linear_scorer, recursive_forecast
+from aerolith.operators.forecast import forecast_regions, forecast_state, linear_scorer, recursive_forecast
 from aerolith.operators.joins import feature_view
-from aerolith.operators.model import TreeParams, evaluate, feature_importance, fit_regions, load_model, save_model, score
-from aerolith.operators.forecast import forecast_regions
+from aerolith.operators.model import (
+    TreeParams, evaluate, feature_importance, fit, fit_regions, load_model, model_features, save_model, score,
+    split_by_time,
+)
 from aerolith.registry import query
 from aerolith.registry import adapters as a
 from aerolith.session import materialize, work_path
 
 AS_OF = "2001-01-01"
+REGION_NAMES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 WEIGHTS = {"pm25_lag_1d": 0.5, "pm25_lag_7d": 0.1, "pm25_rolling_mean_7d": 0.3, "wind_speed_avg_mean": 0.2}
 
 
@@ -82,15 +87,12 @@ _SMALL = TreeParams(rounds=3, learning_rate=0.1, max_depth=3, seed=42)
 @query("gbt_forecast")
 def gbt_forecast(spark, sf_dir):
     """Fit a small model per region, store and load it, and forecast a week with each."""
-    from functools import partial
-
     tables, view = _training_view(spark, sf_dir)
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-    models, scored = fit_regions(view, regions, AS_OF, _SMALL)
+    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
     metrics, root = materialize(evaluate(scored)), work_path(spark, "models")
     for region, model in models.items():
         save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_SMALL)
-    scorers = {region: partial(score, load_model(root, region)) for region in regions}
+    scorers = {region: partial(score, load_model(root, region)) for region in REGION_NAMES}
     weather = tables["direction"].join(tables["speed"], ["region", "timestamp"]).join(
         tables["temperature"], ["region", "timestamp"]
     )
@@ -101,14 +103,13 @@ def gbt_forecast(spark, sf_dir):
 @query("gbt_test_metrics")
 def gbt_test_metrics(spark, sf_dir):
     _, view = _training_view(spark, sf_dir)
-    _, scored = fit_regions(view, ["ASIA", "EUROPE"], AS_OF, _SMALL)
+    _, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
     return evaluate(scored)
 
 
 @query("feature_importance")
 def importance(spark, sf_dir):
+    """Importances of one model for all regions together."""
     _, view = _training_view(spark, sf_dir)
-    models, _ = fit_regions(view, ["ASIA"], AS_OF, _SMALL)
-    return feature_importance(models["ASIA"], spark)
-
-
+    train, _ = split_by_time(view, AS_OF)
+    return feature_importance(fit(train, model_features(view), params=_SMALL), spark)

@@ -233,7 +233,7 @@ def daily_linear_with_coords(spark, sf_dir):
     return a.rounded(attach_coordinates(days, rollup.region_coordinates(r)))
 
 
-def _index_sql(x: str) -> str:
+def index_sql(x: str) -> str:
     whole = f"floor({x})"
     whens = " ".join(
         f"WHEN {whole} <= {x1}e0 THEN CAST(floor({y0}e0 + ({whole} - {x0}e0) * {y1 - y0}e0 / {x1 - x0}e0 + 0.5e0) AS INTEGER)"
@@ -245,7 +245,7 @@ def _index_sql(x: str) -> str:
 @query(
     "daily_aqi",
     f"""SELECT event_type AS region, date_trunc('day', ts + INTERVAL 8 HOURS) AS "timestamp",
-           round_even(avg({_index_sql('value')}), 0) AS pm25
+           round_even(avg({index_sql('value')}), 0) AS pm25
     FROM events GROUP BY 1, 2""",
 )
 def daily_aqi(spark, sf_dir):
@@ -258,7 +258,7 @@ _BANDS = " ".join(f"WHEN aqi < {upper} THEN '{label}'" for upper, label in INDEX
 
 @query(
     "aqi_category",
-    f"""WITH x AS (SELECT event_id, value, {_index_sql('value')} AS aqi FROM events)
+    f"""WITH x AS (SELECT event_id, value, {index_sql('value')} AS aqi FROM events)
     SELECT event_id, value, aqi, CASE {_BANDS} WHEN aqi IS NOT NULL THEN '{INDEX_TOP_BAND}' END AS band FROM x""",
 )
 def aqi_category(spark, sf_dir):

@@ -64,11 +64,17 @@ def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
     return None
 
 
+def extra() -> dict[str, str]:
+    """A folder for tables and checkpoints, if the caller names one."""
+    folder = os.environ.get("CHECK_DIR")
+    return {"spark.checkpoint.dir": folder} if folder else {}
+
+
 def main(sf_dir: str, only: list[str]) -> int:
     from aerolith.session import build_session
     import __spark_entry__ as entry
 
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", **extra()})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
