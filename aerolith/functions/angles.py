@@ -22,7 +22,9 @@ def _mean_from_components(mean_sin: Column, mean_cos: Column) -> Column:
 
 def _length_from_components(mean_sin: Column, mean_cos: Column) -> Column:
     # Rounding can push the length above 1, where the logarithm would turn positive.
-    return F.least(F.lit(1.0), F.sqrt(mean_sin * mean_sin + mean_cos * mean_cos))
+    # (Not least(): it skips NULL, and an empty group would seem to agree perfectly.)
+    length = F.sqrt(mean_sin * mean_sin + mean_cos * mean_cos)
+    return F.when(length > 1, 1.0).otherwise(length)
 
 
 def _std_from_length(length: Column) -> Column:
