@@ -16,6 +16,11 @@ def parse_instant(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def parse_day(text: Column) -> Column:
+    """Date written with dashes or slashes, leading zeros or not; anything else -> NULL."""
+    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit("y/M/d"))).cast("date")
+
+
 def local_clock(ts: Column, tz: str | None, source_tz: str | None = None) -> Column:
     """Wall-clock reading in ``tz`` (no zone attached).
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import schemas
 from aerolith.constants import DUMP_COLUMNS_TO_DROP, EARLIEST_DAY
 from aerolith.functions.text import to_number
-from aerolith.functions.times import parse_instant
+from aerolith.functions.times import parse_day, parse_instant
 
 
 def _csv(spark: SparkSession, path, schema: str, pattern: str | None = None, mode: str = "PERMISSIVE", **options):
@@ -54,7 +54,7 @@ def read_yearly_stations(
     return out
 
 
-def _region_from_file_name() -> "F.Column":
+def _region_from_file_name() -> Column:
     return F.regexp_extract(F.col("_metadata.file_name"), r"^([A-Za-z]+)-", 1)
 
 
@@ -72,7 +72,7 @@ def read_region_daily(spark: SparkSession, directory, pattern: str | None = None
         spark, directory, schemas.REGION_DAILY, pattern, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
     ).withColumn("region", _region_from_file_name())
     return rows.select(
-        F.try_to_timestamp("date").cast("date").alias("date"), "region", to_number(F.col("pm25")).alias("pm25")
+        parse_day(F.col("date")).alias("date"), "region", to_number(F.col("pm25")).alias("pm25")
     )
 
 
@@ -82,7 +82,7 @@ def read_sensor_days(spark: SparkSession, path, sensor_id: int, city: str, since
         spark, path, schemas.REGION_DAILY, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
     )
     return rows.select(
-        F.try_to_timestamp("date").cast("date").alias("date"),
+        parse_day(F.col("date")).alias("date"),
         to_number(F.col("pm25")).cast("float").alias("pm25"),
         F.lit(city).alias("city"),
         F.lit(sensor_id).alias("sensor_id"),
