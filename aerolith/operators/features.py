@@ -2,7 +2,7 @@
 
 One generic operator serves all series; what differs between them is data (``SeriesSpec``).
 All lags and rolling statistics share one partitioning and ordering, so however many
-columns are derived, Spark plans a single exchange and a single sort.
+columns are derived, Spark plans a single exchange and a single sort for them.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ class SeriesSpec:
 
     ``lagged``: (name, source column); ``rolled``: (name, source column, statistics).
     ``min_periods``: values a window needs: "half" of it (at least one), "full", or a number.
+    ``bases``: windows that others are put together from.  A frame of w rows costs w steps
+    per row in Spark; 168 hours as 7 frames of 24 hours, already known on 7 rows, cost 7.
     """
 
     unit: str
@@ -47,12 +49,18 @@ class SeriesSpec:
     windows: tuple[int, ...]
     min_periods: str | int = "half"
     rows_per_key: int | None = None
+    bases: tuple[int, ...] = ()
     components_of: str | None = None  # direction column to split into wind_u / wind_v
     horizons: tuple[int, ...] = ()  # rows ahead, for targets
     target: str | None = None
     lag_pattern: str = "{name}_lag_{n}{unit}"
     roll_pattern: str = "{name}_rolling_{stat}_{n}{unit}"
 
+    def base_of(self, window: int) -> int | None:
+        """The largest base that fits into the window a whole number of times."""
+        fitting = [b for b in self.bases if b < window and window % b == 0 and b in self.windows]
+        return None if window in self.bases else max(fitting, default=None)
+
     @property
     def back(self) -> int:
         return max((*self.lags, *self.windows), default=0)
@@ -62,9 +70,12 @@ class SeriesSpec:
         return max(self.horizons, default=0)
 
 
+_BASES = {"d": (3, 7), "h": (6, 24)}
+
+
 def _scalar_spec(name: str, column: str, unit: str, lags, windows) -> SeriesSpec:
     bound = DAILY_SERIES_ROWS if unit == "d" else HOURLY_SERIES_ROWS
-    return SeriesSpec(unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound)
+    return SeriesSpec(unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound, bases=_BASES[unit])
 
 
 def _direction_spec(direction: str, spread: str, unit: str, lags, windows) -> SeriesSpec:
@@ -76,6 +87,7 @@ def _direction_spec(direction: str, spread: str, unit: str, lags, windows) -> Se
         (("wind_u", "wind_u", ("mean",)), ("wind_v", "wind_v", ("mean",)), ("direction_std", spread, ("mean",))),
         windows,
         rows_per_key=bound,
+        bases=_BASES[unit],
         components_of=direction,
     )
 
@@ -101,7 +113,7 @@ SERIES = {
 
 TARGETS = SeriesSpec(
     "h", (("pm25", "pm25"),), C.TARGET_LAGS, (("pm25", "pm25", ("mean", "std")),), C.TARGET_WINDOWS,
-    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, horizons=C.TARGET_HORIZONS, target="pm25",
+    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, bases=(24,), horizons=C.TARGET_HORIZONS, target="pm25",
 )
 
 SENSOR_DAYS = SeriesSpec(
@@ -122,23 +134,98 @@ def _needed(spec: SeriesSpec, window: int) -> int:
     return window if spec.min_periods == "full" else int(spec.min_periods)
 
 
-def _derived(spec: SeriesSpec, ordered) -> list[Column]:
-    columns = []
+def _state(source: str, part: str, base: int) -> str:
+    return f"_{source}_{part}_{base}"
+
+
+def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
+    """Add lags, rolling statistics and targets.
+
+    First everything that looks at single rows or short frames, with the states (count, sum,
+    squares, extremes) of the base windows; then the longer windows from those states.  The
+    second window operator finds the rows partitioned and sorted as it needs them.
+    """
+    first, composed, states = [], [], {}
     for n in spec.lags:
         for name, source in spec.lagged:
             alias = spec.lag_pattern.format(name=name, n=n, unit=spec.unit)
-            columns.append(F.lag(source, n).over(ordered).alias(alias))
+            first.append(F.lag(source, n).over(ordered).alias(alias))
     for n in spec.windows:
+        base = spec.base_of(n)
         # The n rows before the current one; the current value never leaks into a feature.
         frame, needed = ordered.rowsBetween(-n, -1), _needed(spec, n)
         for name, source, stats in spec.rolled:
+            aliases = {s: spec.roll_pattern.format(name=name, stat=s, n=n, unit=spec.unit) for s in stats}
+            if base is not None:
+                composed.append((source, aliases, n, base, needed))
+                states.setdefault((source, base), set()).update(stats)
+                continue
             enough = F.count(source).over(frame) >= needed
-            for stat in stats:
-                alias = spec.roll_pattern.format(name=name, stat=stat, n=n, unit=spec.unit)
-                columns.append(F.when(enough, _STATS[stat](source).over(frame)).alias(alias))
+            first += [F.when(enough, _STATS[s](source).over(frame)).alias(alias) for s, alias in aliases.items()]
     for n in spec.horizons:
-        columns.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
-    return columns
+        first.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
+    for (source, base), stats in states.items():
+        frame = ordered.rowsBetween(-base, -1)
+        first += [F.count(source).over(frame).alias(_state(source, "n", base)),
+                  F.sum(source).over(frame).alias(_state(source, "sum", base))]
+        if "std" in stats:
+            squares = F.var_pop(source).over(frame) * F.count(source).over(frame)
+            first.append(squares.alias(_state(source, "sq", base)))
+        first += [_STATS[s](source).over(frame).alias(_state(source, s, base)) for s in ("min", "max") if s in stats]
+    out = df.select("*", *first)
+    return _compose(out, df.columns, spec, composed, states, ordered) if composed else out
+
+
+def _compose(out: DataFrame, inputs: list[str], spec: SeriesSpec, composed, states, ordered) -> DataFrame:
+    pieces: dict[tuple[str, int], int] = {}
+    for source, _, n, base, _ in composed:
+        pieces[source, base] = max(pieces.get((source, base), 0), n // base)
+    shifted = []
+    for (source, base), count in pieces.items():
+        parts = ["n", "sum", *[p for p, s in (("sq", "std"), ("min", "min"), ("max", "max")) if s in states[source, base]]]
+        for k in range(1, count):
+            for part in parts:
+                column = _state(source, part, base)
+                shifted.append(F.lag(column, k * base).over(ordered).alias(f"{column}_{k}"))
+    out = out.select("*", *shifted)
+
+    def piece(source: str, part: str, base: int, k: int) -> Column:
+        return F.col(_state(source, part, base) + (f"_{k}" if k else ""))
+
+    totals, means = [], []
+    for i, (source, _, n, base, needed) in enumerate(composed):
+        counts = [F.coalesce(piece(source, "n", base, k), F.lit(0)) for k in range(n // base)]
+        sums = [F.coalesce(piece(source, "sum", base, k), F.lit(0.0)) for k in range(n // base)]
+        totals += [sum(counts[1:], counts[0]).alias(f"_n_{i}"), sum(sums[1:], sums[0]).alias(f"_sum_{i}")]
+        means.append(F.when(F.col(f"_n_{i}") >= needed, F.col(f"_sum_{i}") / F.col(f"_n_{i}")).alias(f"_mean_{i}"))
+    out = out.select("*", *totals).select("*", *means)
+
+    results: dict[str, Column] = {}
+    for i, (source, aliases, n, base, needed) in enumerate(composed):
+        total, mean, every = F.col(f"_n_{i}"), F.col(f"_mean_{i}"), range(n // base)
+        for stat, alias in aliases.items():
+            if stat == "mean":
+                results[alias] = mean
+            elif stat == "std":
+                # Spread inside the pieces plus spread of their means: nothing cancels out.
+                parts = []
+                for k in every:
+                    count, gap = piece(source, "n", base, k), piece(source, "sum", base, k) / piece(source, "n", base, k) - mean
+                    parts.append(F.when(count > 0, piece(source, "sq", base, k) + count * gap * gap).otherwise(0.0))
+                results[alias] = F.when((total >= needed) & (total > 1), F.sqrt(sum(parts[1:], parts[0]) / (total - 1)))
+            else:
+                extreme = F.least if stat == "min" else F.greatest
+                results[alias] = F.when(total >= needed, extreme(*[piece(source, stat, base, k) for k in every]))
+    names = [*inputs, *_feature_names(spec)]
+    return out.select(*[results[c].alias(c) if c in results else F.col(c) for c in names])
+
+
+def _feature_names(spec: SeriesSpec) -> list[str]:
+    names = [spec.lag_pattern.format(name=name, n=n, unit=spec.unit) for n in spec.lags for name, _ in spec.lagged]
+    for n in spec.windows:
+        for name, _, stats in spec.rolled:
+            names += [spec.roll_pattern.format(name=name, stat=s, n=n, unit=spec.unit) for s in stats]
+    return names + [f"target_{n // 24}d" for n in spec.horizons]
 
 
 def series_features(
@@ -159,11 +246,11 @@ def series_features(
     plain = block_rows is None and spec.rows_per_key is not None and spec.rows_per_key <= PLAIN_WINDOW_ROWS
     if plain:
         ordered = Window.partitionBy(*keys).orderBy(order, *tie)
-        out = out.select("*", *_derived(spec, ordered))
+        out = _rolling(out, spec, ordered)
     else:
         cut = row_blocks(out, keys, order, spec.back, spec.ahead, block_rows or 100_000, bucket, tie)
         ordered = Window.partitionBy(*keys, BLOCK).orderBy(order, *tie)
-        out = own_rows(cut.select("*", *_derived(spec, ordered)))
+        out = own_rows(_rolling(cut, spec, ordered))
     return complete_cases(out, optional) if complete else out
 
 

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from aerolith.functions.geo import nearest_region
 from aerolith.functions.times import local_clock
 from aerolith.operators.clean import valid_directions
-from aerolith.operators.features import add_calendar, table_features
+from aerolith.operators.features import SERIES, add_calendar, table_features
 from aerolith.operators.groups import apply_to_groups, group_aggregate
 from aerolith.registry import query
 from aerolith.registry import adapters as a
 from aerolith.registry.features import _calendar_sql, _features_sql
-from aerolith.operators.features import SERIES
 from aerolith.schemas import FEATURE_TABLES, TableSpec
 from aerolith.session import work_path
 from aerolith.sinks.tables import create_table, upsert
@@ -86,7 +85,7 @@ def _event_stream(spark, sf_dir):
     user = F.col("user_id")
     return files.select(
         "event_id",
-        F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()).alias("timestamp"),
+        F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()).alias("timestamp"),
         F.concat(F.lit("S"), user.cast("string")).alias("station_id"),
         (((F.col("event_id") * 37) % 400 - 20).cast("double") + (F.col("value") - F.floor("value"))).alias("wind_direction"),
         (F.col("value") / a.SCALE).alias("wind_speed"),

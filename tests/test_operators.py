@@ -82,10 +82,19 @@ def test_unbounded_series_go_through_blocks(spark):
 
 def test_one_exchange_for_all_features(spark):
     df = series(spark, n=30)
-    plan = f.table_features(f.add_calendar(df, False), "pm25_daily")._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Window [") == 1
-    executed = f.table_features(df, "pm25_daily")._jdf.queryExecution().executedPlan().toString()
-    assert executed.count("Exchange hashpartitioning") == 1
+    executed = f.table_features(f.add_calendar(df, False), "pm25_daily")._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
+
+
+def test_composed_windows_with_missing_values(spark):
+    df = series(spark, n=60).withColumn("pm25", F.when(F.rand(3) > 0.2, F.col("pm25")))
+    df = spark.createDataFrame(df.toPandas(), df.schema)
+    spec = f.SERIES["pm25_daily"]
+    assert spec.base_of(28) == 7 and spec.base_of(3) is None and spec.base_of(7) is None
+    assert_same(
+        f.series_features(df, spec, complete=False), f.series_features(df, replace(spec, bases=()), complete=False),
+        "region", "timestamp",
+    )
 
 
 def test_row_numbers(spark):
