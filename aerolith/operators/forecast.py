@@ -122,6 +122,19 @@ def recursive_forecast(
     return rows.filter(F.col("timestamp").isNotNull())
 
 
+def by_region(scorers: Mapping[str, Scorer], key: str = "region") -> Scorer:
+    """One scorer that applies each region's own to its rows."""
+
+    def score(df: DataFrame) -> DataFrame:
+        out = None
+        for region, scorer in scorers.items():
+            part = scorer(df.filter(F.col(key) == region))
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    return score
+
+
 def forecast_regions(
     state: DataFrame, scorers: Mapping[str, Scorer], days: int = 7, shortened: bool = False, value: str = "pm25"
 ) -> DataFrame:
@@ -130,13 +143,12 @@ def forecast_regions(
     Every step scores all regions in one job and stores the state, one row per region:
     planning a week for each of several models in one piece takes longer than running it.
     """
+    scorer = by_region(scorers)
     current = materialize(state.withColumn("_steps", _empty_steps(state)))
     for k in range(1, days + 1):
-        stepped = None
-        for region, scorer in scorers.items():
-            part = _step(current.filter(F.col("region") == region), k, scorer, ["region"], shortened, value)
-            stepped = part if stepped is None else stepped.unionByName(part)
-        current = materialize(stepped)
+        stepped = _step(current, k, scorer, ["region"], shortened, value)
+        # Gather again: a union of filtered copies has as many partitions as all copies together.
+        current = materialize(stepped.repartition("region"))
     return current.select("region", F.inline("_steps")).filter(F.col("timestamp").isNotNull())
 
 
