@@ -5,10 +5,11 @@ Tables and stream state go below the shared folder named by the session.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from aerolith.functions.geo import nearest_region
-from aerolith.functions.times import local_clock
+from aerolith.functions.times import hour_start, local_clock
 from aerolith.operators.clean import valid_directions
 from aerolith.operators.features import SERIES, add_calendar, table_features
 from aerolith.operators.groups import apply_to_groups, group_aggregate
@@ -132,25 +133,23 @@ def stream_incremental_ingest(spark, sf_dir):
 @query(
     "group_apply",
     f"""WITH {a.READINGS}, d AS (
-      SELECT station_id, CAST("timestamp" AS DATE) AS day, wind_speed FROM readings)
-    SELECT station_id, day, {a.sql_round('max(wind_speed) - min(wind_speed)', 'spread')} FROM d GROUP BY 1, 2""",
+      SELECT station_id, strftime("timestamp", '%Y-%m') AS month, wind_speed FROM readings)
+    SELECT station_id, month, {a.sql_round('max(wind_speed) - min(wind_speed)', 'spread')} FROM d GROUP BY 1, 2""",
 )
 def group_apply(spark, sf_dir):
-    """A caller's pandas function per station and day.
+    """A caller's pandas function per station and month.
 
-    Hourly extremes are aggregated in Spark first, so that a group has 24 rows at most.
+    Hourly extremes are aggregated in Spark first, so that a group has 744 rows at most.
     """
-    import pandas as pd
-
     hours = a.readings(spark, sf_dir).groupBy(
-        "station_id", F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("hour")
+        "station_id", F.date_format("timestamp", "yyyy-MM").alias("month"), hour_start(F.col("timestamp")).alias("hour")
     ).agg(F.min("wind_speed").alias("low"), F.max("wind_speed").alias("high"))
 
     def spread(group: pd.DataFrame) -> pd.DataFrame:
-        head = group[["station_id", "day"]].head(1)
+        head = group[["station_id", "month"]].head(1)
         return head.assign(spread=group["high"].max() - group["low"].min())
 
-    return a.rounded(apply_to_groups(hours, ["station_id", "day"], spread, "station_id string, day date, spread double"))
+    return a.rounded(apply_to_groups(hours, ["station_id", "month"], spread, "station_id string, month string, spread double"))
 
 
 @query(
