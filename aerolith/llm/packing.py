@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import stored
@@ -127,9 +127,14 @@ def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int) -> Data
     return docs.select("doc_id", "text").mapInArrow(pieces, PIECE)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, separator: int = 0) -> DataFrame:
+def pack(
+    docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, separator: int = 0, payload: Column | None = None
+) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id, offset: every document's pieces and their places.
 
+    ``payload``, if given, is a column made of ``ids`` that takes its place; it is computed before pieces
+    meet their places, so that a digest is shuffled instead of the ids.
+
     A document is its ids and the separator; one longer than ``capacity`` is cut into pieces of that
     length, the first piece takes the rest.  Null or empty text is the separator alone.  Repeated rows
     and ids are documents of their own.  An empty table gives no piece.  Other columns are not read.
@@ -156,7 +161,11 @@ def pack(docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, se
 
     before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("length", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    ranked = pieces.join(shifts, ["length", "_task"]).withColumn("_at", placed("length", F.col("_nth") + F.col("_shift")))
+    if payload is not None:
+        pieces = pieces.withColumn("_payload", payload).drop("ids").withColumnRenamed("_payload", "ids")
+    # The shifts grow with the tasks, and files of counts are far smaller than the counts: never broadcast.
+    ranked = pieces.join(shifts.hint("merge"), ["length", "_task"])
+    ranked = ranked.withColumn("_at", placed("length", F.col("_nth") + F.col("_shift")))
     return ranked.select("doc_id", "piece", "start", "length", "ids", "_at.sequence_id", "_at.offset")
 
 

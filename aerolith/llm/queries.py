@@ -59,9 +59,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"))
-    digest = F.crc32("ids").alias("ids_crc32")
-    return packed.select("doc_id", "piece", "start", "length", digest, "sequence_id", "offset")
+    packed = packing.pack(table(spark, sf_dir, "documents"), payload=F.crc32("ids"))
+    return packed.withColumnRenamed("ids", "ids_crc32")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
