@@ -33,6 +33,7 @@ from aerolith.llm.common import SLICE_CHARS, stored
 
 _SPLIT = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_SALTS = 32
 STRETCH = "stretch long, doc_id long, first_word long, words string, grams array<long>"
 
 
@@ -76,7 +77,7 @@ class Bloom:
     @classmethod
     def of(cls, seeds: DataFrame, count: int) -> Bloom:
         """Built by the executors: bytes of the filter are merged by ``bit_or``, at most 2**24 reach the driver."""
-        power = min(27, max(16, int(32 * max(1, count)).bit_length()))
+        power = min(27, max(22, int(512 * max(1, count)).bit_length()))  # 512 bits a seed, 2**22 at least
 
         def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -211,10 +212,13 @@ def contaminated(
     places = stored(stretches(docs, Bloom.of(seeds, known.n), size, known.m or 0), "stretches")
     texts = seeds.select("item_id", "item_words").distinct().withColumn("item", F.xxhash64("item_id", "item_words"))
     by_gram = seeds.select("gram", F.xxhash64("item_id", "item_words").alias("item"))
-    grams = places.select("stretch", "doc_id", F.explode("grams").alias("gram"))
-    spread = grams.join(by_gram.select("gram").distinct(), "gram", "left_semi")
-    spread = spread.select("gram", "doc_id").distinct().groupBy("gram").agg(F.count("*").alias("documents"))
-    shared = grams.join(by_gram, "gram").join(spread, "gram")
+    # A stretch counts as a document: one is cut in two only where its matches lie far apart.
+    grams = places.select("stretch", F.explode("grams").alias("gram"))
+    spread = grams.groupBy("gram").agg(F.count("*").alias("documents"))
+    # One passage may be in a third of all documents: its seeds are dealt over many keys.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    known_grams = by_gram.join(spread, "gram").withColumn("salt", salts)
+    shared = grams.withColumn("salt", F.pmod("stretch", F.lit(_SALTS)).cast("int")).join(known_grams, ["gram", "salt"])
     pairs = shared.groupBy("stretch", "item").agg(F.min("documents").alias("fewest"), F.countDistinct("gram").alias("n"))
     pairs = pairs.where((F.col("fewest") <= rare) | (F.col("n") >= 2)).select("stretch", "item")
     rows = places.drop("grams").join(pairs, "stretch").join(texts, "item")
