@@ -85,10 +85,10 @@ class Markov:
             np.add.at(one, c[2:], 1)
             np.add.at(two, (c[1:-1], c[2:]), 1)
             np.add.at(three, (c[:-2], c[1:-1], c[2:]), 1)
-        p1 = (one + strength / k) / (one.sum() + strength)
+        p1 = 0.9 * (one + strength / k) / (one.sum() + strength) + 0.1 / k
         p2 = (two + strength * p1) / (two.sum(1, keepdims=True) + strength)
         p3 = (three + strength * p2) / (three.sum(2, keepdims=True) + strength)
-        return cls(np.log(p3).astype(np.float32))
+        return cls(np.log(0.98 * p3 + 0.02 / k).astype(np.float32))  # nothing is impossible
 
     def score(self, s: bytes) -> float:
         c = _codes(s)
@@ -150,6 +150,12 @@ def joined_words(rng: np.random.Generator, words: list[bytes], count: int) -> li
     return out
 
 
+def repeated_patterns(rng: np.random.Generator, count: int) -> list[bytes]:
+    """Rules and fill characters: one to three characters over and over."""
+    letters = np.frombuffer(ALPHABET, np.uint8)
+    return [(rng.choice(letters, 1 + i % 3).tobytes() * 40)[: rng.integers(16, 60)] for i in range(count)]
+
+
 def labelled_strings(docs: DataFrame, documents: int = 2000) -> tuple[list[bytes], list[bytes]]:
     """Secrets and ordinary words of a hash sample of about ``documents`` documents.
 
@@ -187,7 +193,10 @@ def fit(docs: DataFrame, documents: int = 2000, least: int = 20, threshold: floa
     secrets, words = labelled_strings(docs, documents)
     words = words or [b"value", b"name", b"index", b"count", b"table", b"result"]
     return SecretModel(
-        Markov.fit(secrets + made_secrets(rng, 4000)), Markov.fit(joined_words(rng, words, 8000)), threshold, least
+        Markov.fit(secrets + made_secrets(rng, 4000)),
+        Markov.fit(joined_words(rng, words, 8000) + repeated_patterns(rng, 4000)),
+        threshold,
+        least,
     )
 
 
