@@ -12,6 +12,7 @@ REGIONS = ("east", "west", "north", "south", "central")
 
 # Particulate concentration -> air-quality index: straight lines between these points,
 # evaluated at the whole part of the concentration, rounded half up, defined for 0..199.
+# The points are those of the public definition of the air-quality index.
 INDEX_BREAKPOINTS = ((0.0, 0.0), (12.0, 50.0), (35.5, 100.0), (55.5, 150.0), (150.5, 200.0), (250.5, 300.0))
 INDEX_DOMAIN = 200
 
@@ -42,10 +43,6 @@ TARGET_HORIZONS = (24, 48, 72, 96, 120, 144, 168)
 SENSOR_LAGS = (1, 2, 3, 7)
 SENSOR_WINDOWS = (3, 7)
 
-# Days of stored history that a daily run re-reads.
-HISTORY_DAYS_HOURLY = 18
-HISTORY_DAYS_DAILY = 58
-
 # Expectations on column minima: (column, exclusive lower bound, inclusive upper bound).
 SENSOR_EXPECTATIONS = (("pm25", -0.1, 500.0),)
 WEATHER_EXPECTATIONS = (("precipitation_sum", -0.1, 1000.0), ("wind_speed_10m_max", -0.1, 1000.0))

@@ -29,7 +29,7 @@ def last_part(path: Column, separator: str = "/") -> Column:
 
 def street_name(name: Column) -> Column:
     """First letter upper, rest lower (one word or many)."""
-    return F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, 2, 1_000_000)))
+    return F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))))
 
 
 def mentions_missing_data(message: Column) -> Column:

@@ -3,25 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.constants import HISTORY_DAYS_DAILY, HISTORY_DAYS_HOURLY, LOCAL_ZONE
+from aerolith.constants import LOCAL_ZONE
 from aerolith.functions.airquality import concentration_to_index
 from aerolith.functions.geo import nearest_region
 from aerolith.functions.times import local_clock, to_instant
 from aerolith.operators import rollup
 from aerolith.operators.clean import valid_directions
-from aerolith.operators.features import add_calendar, table_features
 from aerolith.operators.joins import station_lookup
-from aerolith.operators.merge import merge_station_metadata, union_history
-from aerolith.schemas import FEATURE_TABLES
+from aerolith.operators.merge import merge_station_metadata
+from aerolith.plans.series import store_series
 from aerolith.session import materialize
-from aerolith.sinks.tables import upsert_all
 from aerolith.sources import landing
-from aerolith.sources.tables import read_table, table_exists
 
 
 def located_readings(pages: DataFrame, measure: str, unmatched: str = "null") -> DataFrame:
@@ -77,40 +73,23 @@ def forecast_series(blocks: DataFrame, tz: str = "UTC") -> dict[str, DataFrame]:
     return out
 
 
-def with_history(
-    spark: SparkSession, fresh: DataFrame, table: str, root: str, as_of: date, mode: str = "key"
-) -> DataFrame:
-    """New base rows together with the stored ones of the days before ``as_of``."""
-    spec = FEATURE_TABLES[table]
-    if not table_exists(spark, root, table, spec.version):
-        return fresh
-    days = HISTORY_DAYS_HOURLY if table.endswith("hourly") else HISTORY_DAYS_DAILY
-    since = datetime(as_of.year, as_of.month, as_of.day) - timedelta(days=days)
-    stored = read_table(spark, root, table, spec.version, fresh.columns, since=since)
-    return union_history(fresh, stored, mode=mode)
-
-
 def store_features(
-    spark: SparkSession, series: Mapping[str, DataFrame], root: str, as_of: date, mode: str = "key",
-    calendar_zone: str | None = None,
+    spark: SparkSession, series: Mapping[str, DataFrame], root: str, calendar_zone: str | None = None
 ) -> dict[str, bool]:
-    """Base series -> calendar and window features -> upsert, for each named table.
+    """Base rows merged with the stored ones, and the features of all rows that they influence, for each named table.
 
     Hourly rows are stored in UTC; ``calendar_zone`` names the zone of their hour column.
     """
-    ready = {}
+    done = {}
     for table, fresh in series.items():
-        hourly = table.endswith("hourly")
-        base = with_history(spark, fresh, table, root, as_of, mode)
-        zone = calendar_zone if hourly else None
-        dated = add_calendar(base, hourly, tz=zone, source_tz="UTC" if zone else None)
-        ready[table] = table_features(dated, table)
-    return upsert_all(ready, root)
+        zone = calendar_zone if table.endswith("hourly") else None
+        done[table] = store_series(spark, fresh, table, root, tz=zone, source_tz="UTC" if zone else None)
+    return done
 
 
 def daily_ingest(
-    spark: SparkSession, paths: Mapping[str, str], root: str, as_of: date, tz: str = LOCAL_ZONE,
-    mode: str = "key", unmatched: str = "null", multiline: bool = False,
+    spark: SparkSession, paths: Mapping[str, str], root: str, tz: str = LOCAL_ZONE,
+    unmatched: str = "null", multiline: bool = False,
 ) -> dict[str, bool]:
     """Process one delivery.  ``paths``: landing folder of each of pm25, wind_speed,
     wind_direction, air_temperature (any may be missing)."""
@@ -122,12 +101,12 @@ def daily_ingest(
         if measure in paths:
             pages = landing.read_station_pages(spark, paths[measure], multiline)
             series[f"{measure}_hourly"], series[f"{measure}_daily"] = weather_series(pages, measure, tz, unmatched)
-    return store_features(spark, series, root, as_of, mode, calendar_zone=tz)
+    return store_features(spark, series, root, calendar_zone=tz)
 
 
 def forecast_ingest(
-    spark: SparkSession, path: str, root: str, as_of: date, tz: str = "UTC", calendar_zone: str = LOCAL_ZONE
+    spark: SparkSession, path: str, root: str, tz: str = "UTC", calendar_zone: str = LOCAL_ZONE
 ) -> dict[str, bool]:
     """Store the coming days' weather in the same tables as the observed one."""
     blocks = landing.read_forecast_blocks(spark, path)
-    return store_features(spark, forecast_series(blocks, tz), root, as_of, calendar_zone=calendar_zone)
+    return store_features(spark, forecast_series(blocks, tz), root, calendar_zone=calendar_zone)

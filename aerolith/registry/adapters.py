@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.constants import REGION_CENTROIDS
 from aerolith.functions import angles
 from aerolith.functions.geo import nearest_region
 from aerolith.functions.times import hour_start
@@ -70,10 +69,17 @@ def _distance(lat: float, lon: float) -> str:
     return f"((latitude-{lat!r}e0)*(latitude-{lat!r}e0)+(longitude-{lon!r}e0)*(longitude-{lon!r}e0))"
 
 
+# The SQL's own numbers.
+_SQL_CENTROIDS = (
+    ("central", 1.3521, 103.8198), ("north", 1.4180, 103.8270), ("south", 1.2800, 103.8500), ("east", 1.3500, 103.9400),
+    ("west", 1.3400, 103.7000),
+)
+
+
 def sql_region(otherwise: str = "NULL") -> str:
-    distances = [_distance(lat, lon) for _, lat, lon in REGION_CENTROIDS]
+    distances = [_distance(lat, lon) for _, lat, lon in _SQL_CENTROIDS]
     least = f"least({', '.join(distances)})"
-    whens = " ".join(f"WHEN {d} = {least} THEN '{name}'" for d, (name, _, _) in zip(distances, REGION_CENTROIDS))
+    whens = " ".join(f"WHEN {d} = {least} THEN '{name}'" for d, (name, _, _) in zip(distances, _SQL_CENTROIDS))
     return f"CASE {whens} ELSE {otherwise} END"
 
 
@@ -203,9 +209,14 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four daily base tables.  The weather rollup is computed once for its three users."""
-    w = materialize(weather(spark, sf_dir))
+def daily_tables(spark: SparkSession, sf_dir: str, stored: bool = True) -> dict[str, DataFrame]:
+    """The four daily base tables.
+
+    ``stored``: the weather rollup is computed once for its three users.  Without it filters
+    reach the rollup and its scan, which is better for a user of few days.
+    """
+    w = weather(spark, sf_dir)
+    w = materialize(w) if stored else w
     return {
         "pm25": daily(spark, sf_dir),
         "direction": w.select("region", "timestamp", "wind_direction_avg_mean", "wind_direction_avg_std"),

@@ -173,13 +173,16 @@ def wind_components(spark, sf_dir):
 
 @query(
     "index_points",
-    """WITH points(x, index) AS (VALUES (0, 0), (12, 50), (13, 52), (35, 99), (36, 101), (55, 149), (56, 150), (99, 173),
-       (149, 199), (150, 200), (199, 249))
-    SELECT event_id, index FROM events LEFT JOIN points ON CAST(floor(value) AS INTEGER) = x""",
+    """WITH c AS (SELECT event_id, CAST(floor(value) AS INTEGER) AS x FROM events)
+    SELECT event_id, CASE
+      WHEN x < 0 OR x > 199 THEN NULL
+      WHEN x < 12 THEN CAST(floor(x * 50e0 / 12e0 + 0.5e0) AS INTEGER)
+      WHEN x < 35.5e0 THEN CAST(floor(50e0 + (x - 12) * 50e0 / 23.5e0 + 0.5e0) AS INTEGER)
+      WHEN x < 55.5e0 THEN CAST(floor(100e0 + (x - 35.5e0) * 50e0 / 20e0 + 0.5e0) AS INTEGER)
+      WHEN x < 150.5e0 THEN CAST(floor(150e0 + (x - 55.5e0) * 50e0 / 95e0 + 0.5e0) AS INTEGER)
+      ELSE CAST(floor(200e0 + (x - 150.5e0) * 100e0 / 100e0 + 0.5e0) AS INTEGER) END AS index
+    FROM c""",
 )
 def index_points(spark, sf_dir):
-    """Index of the readings at concentrations whose index the SQL gives as a literal."""
-    listed = F.floor("value").isin(0, 12, 13, 35, 36, 55, 56, 99, 149, 150, 199)
-    return a.table(spark, sf_dir, "events").select(
-        "event_id", F.when(listed, concentration_to_index(F.col("value"))).alias("index")
-    )
+    """Index of every reading; the SQL has the published breakpoints as numbers of its own."""
+    return a.table(spark, sf_dir, "events").select("event_id", concentration_to_index(F.col("value")).alias("index"))

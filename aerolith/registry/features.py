@@ -6,11 +6,25 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from aerolith import constants as C
 from aerolith.operators import features as f
 from aerolith.registry import query
 from aerolith.registry import adapters as a
 
+# What the SQL expects of each table, as numbers of its own: a wrong constant in the library turns rows red.
+_EXPECTED = {
+    **{t: ((1, 2, 3, 4, 5, 6, 7, 14, 28), (3, 7, 14, 28))
+       for t in ("pm25_daily", "wind_direction_daily", "wind_speed_daily", "air_temperature_daily")},
+    **{t: ((1, 2, 3, 6, 12, 24, 48, 72, 168), (6, 12, 24, 72, 168))
+       for t in ("wind_direction_hourly", "wind_speed_hourly", "air_temperature_hourly")},
+    "pm25_hourly": ((1, 2, 3, 6, 12, 24), (6, 12, 24, 72, 168)),
+}
+
+
+def _expected(table: str) -> f.SeriesSpec:
+    lags, windows = _EXPECTED[table]
+    return replace(f.SERIES[table], lags=lags, windows=windows, min_periods="half")
+
+
 _SQL_STATS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
@@ -70,7 +84,7 @@ def _features_sql(
 def _register_table(name: str, table: str, base: list[str], hourly: bool, source) -> None:
     with_part, relation, load = source
     sql = _features_sql(
-        with_part, relation, f.SERIES[table], base, ["region"], '"timestamp"',
+        with_part, relation, _expected(table), base, ["region"], '"timestamp"',
         _calendar_sql('"timestamp"', hourly), ["region", "timestamp"],
     )
 
@@ -102,21 +116,19 @@ _register_table("features_wind_speed_daily", "wind_speed_daily", ["wind_speed_av
 _register_table("features_air_temperature_daily", "air_temperature_daily", ["air_temperature_avg_mean"], False, _WEATHER)
 
 
-# Seasonal: 30 days give 30 rows per (region, hour), so the windows are those of days.
-_SEASONAL = replace(f.SERIES["pm25_hourly"], lags=(1, 2, 3, 6, 12), windows=(6, 12))
-
-
 @query(
     "features_seasonal_hour",
     _features_sql(
         a.HOURLY + ", seasonal AS (SELECT *, CAST(hour(\"timestamp\") AS TINYINT) AS hour FROM hourly)", "seasonal",
-        _SEASONAL, ["pm25"], ["region", "hour"], '"timestamp"', [], ["region", "timestamp", "hour"],
+        _expected("pm25_hourly"), ["pm25"], ["region", "hour"], '"timestamp"', [], ["region", "timestamp", "hour"],
+        complete=False,
     ),
 )
 def features_seasonal_hour(spark, sf_dir):
+    """All lags and windows per hour of day; the 30 days of the readings complete few rows, so all are kept."""
     series = a.hourly(spark, sf_dir).select("region", "timestamp", "pm25")
     series = series.withColumn("hour", F.hour("timestamp").cast("tinyint"))
-    return a.rounded(f.series_features(series, _SEASONAL, ("region", "hour")))
+    return a.rounded(f.seasonal_features(series, "pm25_hourly", complete=False))
 
 
 # Single readings: no bound on rows per key, hence blocks.
@@ -143,7 +155,9 @@ def features_blocked_readings(spark, sf_dir):
 @query(
     "multi_horizon_targets",
     _features_sql(
-        a.HOURLY, "hourly", f.TARGETS, ["pm25"], ["region"], '"timestamp"', _calendar_sql('"timestamp"', True, True),
+        a.HOURLY, "hourly",
+        replace(f.TARGETS, lags=(1, 3, 6, 12, 24, 48, 72, 168), windows=(24, 72, 168), horizons=(24, 48, 72, 96, 120, 144, 168)),
+        ["pm25"], ["region"], '"timestamp"', _calendar_sql('"timestamp"', True, True),
         ["region", "timestamp"],
     ),
 )
@@ -158,10 +172,10 @@ _SENSOR_WITH = a.READINGS + """, sensor AS (
 @query(
     "sensor_features_early",
     _features_sql(
-        _SENSOR_WITH, "sensor", f.SENSOR_DAYS, ["pm25"], ["sensor_id"], "date",
+        _SENSOR_WITH, "sensor", replace(f.SENSOR_DAYS, lags=(1, 2, 3, 7), windows=(3, 7)), ["pm25"], ["sensor_id"], "date",
         [("dayofweek", "CAST(isodow(date) - 1 AS INTEGER)"), ("dayofmonth", "CAST(day(date) AS INTEGER)"),
          ("is_weekend", "isodow(date) - 1 >= 5")],
-        ["sensor_id", "date"], complete=False, fill={f"pm_roll_std_{n}": "0" for n in C.SENSOR_WINDOWS},
+        ["sensor_id", "date"], complete=False, fill={f"pm_roll_std_{n}": "0" for n in (3, 7)},
     ),
 )
 def sensor_features_early(spark, sf_dir):
@@ -204,12 +218,12 @@ def calendar_features(spark, sf_dir):
 def _time_range_sql() -> str:
     columns = ["d.region", 'd."timestamp"', a.sql_round("d.pm25", "pm25")]
     joins = []
-    for n in C.DAILY_LAGS:
+    for n in (1, 2, 3, 4, 5, 6, 7, 14, 28):
         joins.append(
             f'LEFT JOIN daily l{n} ON l{n}.region = d.region AND l{n}."timestamp" = d."timestamp" - INTERVAL {n} DAYS'
         )
         columns.append(a.sql_round(f"l{n}.pm25", f"pm25_lag_{n}d"))
-    for n in C.DAILY_WINDOWS:
+    for n in (3, 7, 14, 28):
         frame = (
             f'OVER (PARTITION BY d.region ORDER BY d."timestamp" '
             f"RANGE BETWEEN INTERVAL {n - 1} DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING)"

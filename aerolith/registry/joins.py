@@ -68,7 +68,7 @@ def feature_view_join(spark, sf_dir):
     FROM f WHERE days_before_forecast_day <= 7""",
 )
 def future_weather_top7(spark, sf_dir):
-    t = a.daily_tables(spark, sf_dir)
+    t = a.daily_tables(spark, sf_dir, stored=False)
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     return a.rounded(joins.future_weather(t["direction"], t["speed"], t["temperature"], as_of))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aerolith.constants import INDEX_BANDS, INDEX_BREAKPOINTS, INDEX_TOP_BAND
+from aerolith.constants import INDEX_BANDS, INDEX_TOP_BAND
 from aerolith.functions.airquality import concentration_to_index, index_band
 from aerolith.functions.geo import nearest_region
 from aerolith.operators import rollup
@@ -233,11 +233,15 @@ def daily_linear_with_coords(spark, sf_dir):
     return a.rounded(attach_coordinates(days, rollup.region_coordinates(r)))
 
 
+# The SQL's own numbers: the published breakpoints of concentration and index.
+_SQL_POINTS = ((0.0, 0.0), (12.0, 50.0), (35.5, 100.0), (55.5, 150.0), (150.5, 200.0), (250.5, 300.0))
+
+
 def index_sql(x: str) -> str:
     whole = f"floor({x})"
     whens = " ".join(
         f"WHEN {whole} <= {x1}e0 THEN CAST(floor({y0}e0 + ({whole} - {x0}e0) * {y1 - y0}e0 / {x1 - x0}e0 + 0.5e0) AS INTEGER)"
-        for (x0, y0), (x1, y1) in zip(INDEX_BREAKPOINTS, INDEX_BREAKPOINTS[1:])
+        for (x0, y0), (x1, y1) in zip(_SQL_POINTS, _SQL_POINTS[1:])
     )
     return f"CASE WHEN {whole} < 0 OR {whole} >= 200 THEN NULL {whens} END"
 

@@ -6,23 +6,25 @@ Tables and stream state go below the shared folder named by the session.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.geo import nearest_region
 from aerolith.functions.times import hour_start, local_clock
 from aerolith.operators.clean import valid_directions
-from aerolith.operators.features import SERIES, add_calendar, table_features
 from aerolith.operators.groups import apply_to_groups, group_aggregate
+from aerolith.plans.ingest import store_features
+from aerolith.plans.series import store_series
 from aerolith.registry import query
 from aerolith.registry import adapters as a
-from aerolith.registry.features import _calendar_sql, _features_sql
-from aerolith.schemas import FEATURE_TABLES, TableSpec
-from aerolith.session import work_path
+from aerolith.registry.features import _calendar_sql, _expected, _features_sql
+from aerolith.schemas import TableSpec
+from aerolith.session import materialize, work_path
 from aerolith.sinks.tables import create_table, upsert
 from aerolith.sources.tables import read_table
 from aerolith.streaming.corrections import correct_features
-from aerolith.streaming.ingest import append_to_files, without_repeats
-from aerolith.streaming.rollup import hourly_windows, keep_table_current
+from aerolith.streaming.ingest import keep_readings
+from aerolith.streaming.rollup import keep_hours_current
 
 _SERIES = TableSpec("pm25_base", 1, ("region", "timestamp"))
 
@@ -59,30 +61,112 @@ def feature_table_upsert(spark, sf_dir):
     return a.rounded(read_table(spark, root, "pm25_base"))
 
 
+def _corrected_sql(corrected: str) -> str:
+    return _features_sql(
+        f"{a.DAILY}, corrected AS ({corrected})", "corrected", _expected("pm25_daily"), ["pm25"], ["region"], '"timestamp"',
+        _calendar_sql('"timestamp"', False), ["region", "timestamp"],
+    )
+
+
+def _correct(spark, series, changed, name: str):
+    """Store a series, correct some of its rows, and read the features."""
+    root = work_path(spark, name)
+    store_series(spark, series, "pm25_daily", root)
+    correct_features(changed, "pm25_daily", root, ["region", "timestamp", "pm25"])
+    return a.rounded(read_table(spark, root, "pm25_daily"))
+
+
+@query(
+    "feature_table_upsert_keys",
+    f"""WITH {a.DAILY}, k AS (SELECT CASE region WHEN 'ASIA' THEN NULL WHEN 'EUROPE' THEN '007' WHEN 'AFRICA' THEN '7'
+      ELSE region END AS region, "timestamp", pm25 FROM daily)
+    SELECT region, "timestamp",
+       {a.sql_round("""CASE WHEN "timestamp" >= TIMESTAMP '2000-01-15' THEN pm25 + 100 ELSE pm25 END""", 'pm25')} FROM k""",
+)
+def feature_table_upsert_keys(spark, sf_dir):
+    """Keys that are NULL or look like numbers survive being stored, updated and read."""
+    root = work_path(spark, "table_keys")
+    region = F.col("region")
+    named = F.when(region == "EUROPE", "007").when(region == "AFRICA", "7").when(region != "ASIA", region)
+    series = materialize(a.daily(spark, sf_dir).withColumn("region", named))
+    create_table(series.filter("timestamp < '2000-07-01'"), _SERIES, root)
+    upsert(series.filter("timestamp >= '2000-01-15'").withColumn("pm25", F.col("pm25") + 100), _SERIES, root)
+    return a.rounded(read_table(spark, root, "pm25_base"))
+
+
 @query(
     "late_corrections",
-    _features_sql(
-        a.DAILY + """, corrected AS (SELECT region, "timestamp",
-          CASE WHEN "timestamp" = TIMESTAMP '2001-01-05' THEN pm25 + 50 ELSE pm25 END AS pm25 FROM daily)""",
-        "corrected", SERIES["pm25_daily"], ["pm25"], ["region"], '"timestamp"', _calendar_sql('"timestamp"', False),
-        ["region", "timestamp"],
-    ),
+    _corrected_sql("""SELECT region, "timestamp",
+      CASE WHEN "timestamp" = TIMESTAMP '2001-01-05' THEN pm25 + 50 ELSE pm25 END AS pm25 FROM daily"""),
 )
 def late_corrections(spark, sf_dir):
     """Correct one day of the stored series; features of the days it influences follow."""
-    root = work_path(spark, "corrections")
-    series = a.daily(spark, sf_dir)
-    spec = FEATURE_TABLES["pm25_daily"]
-    create_table(table_features(add_calendar(series, with_hour=False), "pm25_daily"), spec, root)
+    series = materialize(a.daily(spark, sf_dir))
     changed = series.filter("timestamp = '2001-01-05'").withColumn("pm25", F.col("pm25") + 50)
-    correct_features(changed, "pm25_daily", root, ["region", "timestamp", "pm25"])
-    return a.rounded(read_table(spark, root, "pm25_daily"))
+    return _correct(spark, series, changed, "corrections")
+
+
+@query(
+    "late_corrections_early",
+    _corrected_sql("""SELECT region, "timestamp",
+      CASE WHEN row_number() OVER (PARTITION BY region ORDER BY "timestamp") = 31 THEN pm25 + 50 ELSE pm25 END AS pm25 FROM daily"""),
+)
+def late_corrections_early(spark, sf_dir):
+    """A correction soon after warm-up, whose windows reach back to rows without features."""
+    series = materialize(a.daily(spark, sf_dir))
+    nth = F.row_number().over(Window.partitionBy("region").orderBy("timestamp"))
+    changed = series.withColumn("n", nth).filter("n = 31").drop("n").withColumn("pm25", F.col("pm25") + 50)
+    return _correct(spark, series, changed, "corrections_early")
+
+
+@query(
+    "late_corrections_gaps",
+    _corrected_sql("""SELECT region, "timestamp",
+      CASE WHEN row_number() OVER (PARTITION BY region ORDER BY "timestamp") = 80 THEN pm25 + 50 ELSE pm25 END AS pm25
+      FROM (SELECT region, pm25, CAST(DATE '1970-01-01' + CAST(3 * date_diff('day', DATE '1970-01-01', CAST("timestamp" AS DATE))
+            AS INTEGER) AS TIMESTAMP) AS "timestamp" FROM daily) d"""),
+)
+def late_corrections_gaps(spark, sf_dir):
+    """The series with every day stretched to three: windows count rows, however far apart."""
+    day = F.date_from_unix_date(3 * F.unix_date(F.to_date("timestamp")))
+    series = materialize(a.daily(spark, sf_dir).select("region", day.cast("timestamp_ntz").alias("timestamp"), "pm25"))
+    nth = F.row_number().over(Window.partitionBy("region").orderBy("timestamp"))
+    changed = series.withColumn("n", nth).filter("n = 80").drop("n").withColumn("pm25", F.col("pm25") + 50)
+    return _correct(spark, series, changed, "corrections_gaps")
+
+
+@query(
+    "daily_ingest_increment",
+    _features_sql(
+        a.HOURLY, "hourly", _expected("pm25_hourly"), ["pm25"], ["region"], '"timestamp"', _calendar_sql('"timestamp"', True),
+        ["region", "timestamp"],
+    ),
+)
+def daily_ingest_increment(spark, sf_dir):
+    """All days but the last stored at once, then the last one ingested: as if all had come at once."""
+    root = work_path(spark, "increment")
+    series = materialize(a.hourly(spark, sf_dir).select("region", "timestamp", "pm25"))
+    last = series.agg(F.max(F.to_date("timestamp"))).first()[0]
+    for part in (F.to_date("timestamp") < F.lit(last), F.to_date("timestamp") >= F.lit(last)):
+        store_features(spark, {"pm25_hourly": series.filter(part)}, root)
+    return a.rounded(read_table(spark, root, "pm25_hourly"))
 
 
 def _event_stream(spark, sf_dir):
-    """The readings as a stream.  Watermarks need instants, so the clock is read as UTC."""
-    schema = a.table(spark, sf_dir, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The readings as a stream of files in reverse order of time, one file a batch.
+
+    Watermarks need instants, so the clock is read as UTC.
+    """
+    events = a.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    landing = work_path(spark, "landing")
+    third = (ends.high - ends.low) / 3
+    for k in (2, 1, 0):
+        part = events.filter(F.col("ts") >= F.lit(ends.low + k * third)) if k else events
+        if k < 2:
+            part = part.filter(F.col("ts") < F.lit(ends.low + (k + 1) * third))
+        part.write.mode("append").parquet(landing)
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     user = F.col("user_id")
     return files.select(
         "event_id",
@@ -105,11 +189,15 @@ def _event_stream(spark, sf_dir):
     FROM valid GROUP BY 1, 2""",
 )
 def stream_hourly_rollup(spark, sf_dir):
+    """Several batches, the newest readings first: late hours are counted like all others."""
     root = work_path(spark, "stream_rollup")
     readings = valid_directions(_event_stream(spark, sf_dir), "wind_direction")
-    hours = hourly_windows(readings, "wind_direction", "wind_direction", circular=True)
-    spec = TableSpec("hours", 1, ("region", "timestamp"))
-    keep_table_current(hours, spec, root, f"{root}/checkpoint").awaitTermination()
+    raw = TableSpec("readings", 1, ("region", "event_id", "timestamp"))
+    hours = TableSpec("hours", 1, ("region", "timestamp"))
+    keep_hours_current(
+        readings.select("event_id", "region", "timestamp", "wind_direction"), "wind_direction", "wind_direction", raw, hours,
+        root, f"{root}/checkpoint", circular=True,
+    ).awaitTermination()
     out = read_table(spark, root, "hours").withColumn("timestamp", local_clock(F.col("timestamp"), "UTC"))
     return a.wrap_angle(a.rounded(out), "wind_direction_avg")
 
@@ -119,14 +207,13 @@ def stream_hourly_rollup(spark, sf_dir):
     f"""WITH {a.READINGS} SELECT event_id, station_id, "timestamp", {a.sql_round('wind_speed', 'wind_speed')} FROM readings""",
 )
 def stream_incremental_ingest(spark, sf_dir):
-    """Ingest, then run again from the same checkpoint: nothing arrives twice."""
+    """Ingest late files and, from a fresh checkpoint, everything again: nothing is lost or doubled."""
     root = work_path(spark, "stream_ingest")
-    for _ in range(2):
-        readings = without_repeats(
-            _event_stream(spark, sf_dir).select("event_id", "station_id", "timestamp", "wind_speed")
-        )
-        append_to_files(readings, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
-    out = spark.read.parquet(f"{root}/bronze").drop("day")
+    spec = TableSpec("bronze", 1, ("event_id", "timestamp"), partition_by=())
+    readings = _event_stream(spark, sf_dir).select("event_id", "station_id", "timestamp", "wind_speed")
+    for run in range(2):
+        keep_readings(readings, spec, root, f"{root}/checkpoint-{run}").awaitTermination()
+    out = read_table(spark, root, "bronze")
     return a.rounded(out.withColumn("timestamp", local_clock(F.col("timestamp"), "UTC")))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -28,36 +28,37 @@ def build_session(app: str = "aerolith", master: str | None = None, **overrides:
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; every executor must reach it.
+def shared_folder(spark: SparkSession) -> str:
+    """Where tables and state go that every executor must reach.
 
-    Only a local session may go without the setting: it then gets a fresh folder.
+    ``spark.checkpoint.dir`` of the session, else its warehouse: every session has one, and a
+    cluster keeps it on shared storage.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder in which long lineages are cut; set below the shared one if the session has none."""
     current = spark.sparkContext.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fresh = tempfile.mkdtemp(prefix="aerolith-")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    if not current:
+        current = f"{shared_folder(spark)}/aerolith/checkpoints"
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/aerolith/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/aerolith/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, reliably, when several branches of a plan read it.
 
     Used for rolled-up series, which are far smaller than the readings behind them.  The
-    files live in the shared folder, so a lost executor costs nothing but a re-read.
+    table lies in the shared folder, so a lost executor costs nothing but a re-read, and
+    filters and column choices of later readers reach its scan.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.schemas import MONTHLY
 
@@ -18,18 +19,18 @@ def table_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/v={version}"
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
 def table_exists(spark: SparkSession, root: str, name: str, version: int) -> bool:
-    fs, path = _filesystem(spark, table_path(root, name, version))
-    return fs.exists(path)
+    fs, path = filesystem(spark, table_path(root, name, version))
+    return fs.exists(path) and any(s.getPath().getName()[0] not in "_." for s in fs.listStatus(path))
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> int:
-    fs, path = _filesystem(spark, f"{root.rstrip('/')}/{name}")
+    fs, path = filesystem(spark, f"{root.rstrip('/')}/{name}")
     found = []
     if fs.exists(path):
         for status in fs.listStatus(path):
@@ -41,6 +42,30 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int:
     return max(found)
 
 
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folder levels below a table, from the first folder of each level."""
+    names, here = [], path
+    while True:
+        fs, current = filesystem(spark, here)
+        below = [s.getPath().getName() for s in fs.listStatus(current) if s.isDirectory()]
+        level = [n for n in below if "=" in n and not n.startswith("_")]
+        if not level:
+            return names
+        names.append(level[0].split("=", 1)[0])
+        here = f"{here}/{level[0]}"
+
+
+def read_stored(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
+    """The whole table with its period column.  Partition values are text, as they were written:
+    read by inference, region "007" would come back as 7."""
+    path = table_path(root, name, version)
+    found = spark.read.parquet(path)
+    names = [f.name for f in found.schema]
+    folders = _partition_columns(spark, path)
+    fields = [T.StructField(n, T.StringType() if n in folders else found.schema[n].dataType) for n in names]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def read_table(
     spark: SparkSession, root: str, name: str, version: int | None = None, columns: Sequence[str] | None = None,
     since=None, before=None, regions: Iterable[str] | None = None, event_time: str = "timestamp",
@@ -50,7 +75,7 @@ def read_table(
     Time bounds prune whole folders of files and are pushed into the Parquet scan besides.
     """
     version = latest_version(spark, root, name) if version is None else version
-    df = spark.read.parquet(table_path(root, name, version))
+    df = read_stored(spark, root, name, version)
     for bound, is_lower in ((since, True), (before, False)):
         if bound is None:
             continue

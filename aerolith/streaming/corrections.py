@@ -4,52 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from aerolith.operators.features import SERIES, add_calendar, table_features
-from aerolith.operators.merge import union_history
-from aerolith.schemas import FEATURE_TABLES
-from aerolith.sinks.tables import upsert
-from aerolith.sources.tables import read_table, table_exists
-
-# Days re-read before the earliest change: twice the longest look-back, against gaps.
-_DAYS_BACK = {"h": 18, "d": 58}
+from aerolith.plans.series import merge_series
 
 
 def correct_features(batch: DataFrame, table: str, root: str, base_columns: Sequence[str], tz: str | None = None) -> bool:
-    """Merge changed base rows into a series table and refresh the rows they influence.
-
-    Reads the touched regions from some days before the earliest change onwards.  Stored
-    rows before the change keep their features; only rows from the change on are written.
-    """
-    spark = batch.sparkSession
-    spec, unit = FEATURE_TABLES[table], SERIES[table].unit
-    changed = batch.select(*base_columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        starts = changed.groupBy("region").agg(F.min("timestamp").alias("_from"))
-        earliest = starts.agg(F.min("_from")).first()[0]
-        if earliest is None:
-            return False
-        merged = changed
-        if table_exists(spark, root, table, spec.version):
-            since = F.lit(earliest) - F.expr(f"INTERVAL {_DAYS_BACK[unit]} DAYS")
-            lower = spark.range(1).select(since.alias("t")).first()["t"]
-            stored = read_table(spark, root, table, spec.version, base_columns, since=lower)
-            merged = union_history(changed, stored.join(starts.select("region"), "region", "left_semi"))
-        features = table_features(add_calendar(merged, with_hour=unit == "h", tz=tz), table)
-        fresh = features.join(starts, "region").filter(F.col("timestamp") >= F.col("_from")).drop("_from")
-        return upsert(fresh, spec, root)
-    finally:
-        changed.unpersist()
-
-
-def correct_from_stream(changes: DataFrame, table: str, root: str, base_columns: Sequence[str], checkpoint: str):
-    """Apply ``correct_features`` to every batch of a stream of base rows."""
+    """Merge changed base rows into a series table and refresh the rows they influence."""
+    return merge_series(batch, table, root, base_columns, tz)
+
+
+def correct_from_stream(
+    changes: DataFrame, table: str, root: str, base_columns: Sequence[str], checkpoint: str, tz: str | None = None
+):
+    """Apply ``correct_features`` to every batch of a stream of base rows, in whatever order they come."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        correct_features(batch, table, root, base_columns)
+        correct_features(batch, table, root, base_columns, tz)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import schemas
+from aerolith.schemas import TableSpec
+from aerolith.sinks.tables import upsert
 from aerolith.sources.landing import region_readings, station_readings
 
 
@@ -26,11 +28,22 @@ def stream_region_readings(spark: SparkSession, landing: str, files_per_trigger:
     return region_readings(_pages(spark, landing, schemas.REGION_PAGE, files_per_trigger))
 
 
-def without_repeats(
-    readings: DataFrame, keys=("station_id", "timestamp"), ts: str = "timestamp", delay: str = "2 hours"
-) -> DataFrame:
-    """Drop readings delivered again within the delay; older state is forgotten."""
-    return readings.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def keep_readings(readings: DataFrame, spec: TableSpec, root: str, checkpoint: str):
+    """Merge arriving readings into a stored table by key; returns the running query.
+
+    Nothing is too late: a reading is stored whenever it comes, and once however often it comes.
+    A batch that is retried replaces its own rows.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, spec, root)
+
+    return (
+        readings.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def append_to_files(readings: DataFrame, path: str, checkpoint: str, ts: str = "timestamp"):

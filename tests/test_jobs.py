@@ -15,7 +15,7 @@ from aerolith.schemas import FEATURE_TABLES, TableSpec
 from aerolith.session import materialize
 from aerolith.sinks.tables import create_table
 from aerolith.sources.tables import read_table
-from aerolith.streaming.ingest import append_to_files, stream_station_readings, without_repeats
+from aerolith.streaming.ingest import keep_readings, stream_station_readings
 from aerolith.streaming.rollup import hourly_windows, keep_table_current
 
 DAY = dt.timedelta(days=1)
@@ -55,7 +55,7 @@ def test_ingest_train_predict(spark, tmp_path):
     landed(landing, 75)
     paths = {m: str(landing / m) for m in ("pm25", "wind_speed", "wind_direction", "air_temperature")}
     daily = {m: p for m, p in paths.items()}
-    done = ingest.daily_ingest(spark, daily, root, dt.date(2024, 3, 16))
+    done = ingest.daily_ingest(spark, daily, root)
     assert done["pm25_daily"] and done["wind_direction_daily"] and done["wind_speed_hourly"]
     pm25 = read_table(spark, root, "pm25_daily")
     # 75 days, 28 of them warm-up; unknown station S9 is left out.
@@ -64,7 +64,7 @@ def test_ingest_train_predict(spark, tmp_path):
 
     # The same delivery once more changes nothing (history rows meet their own keys).
     before = {tuple(r) for r in pm25.select("region", "timestamp", "pm25_lag_28d").collect()}
-    ingest.daily_ingest(spark, {"pm25": paths["pm25"]}, root, dt.date(2024, 3, 16))
+    ingest.daily_ingest(spark, {"pm25": paths["pm25"]}, root)
     assert {tuple(r) for r in read_table(spark, root, "pm25_daily").select("region", "timestamp", "pm25_lag_28d").collect()} == before
 
     metrics = train.train_regions(spark, root, "2024-03-10", ["north", "east"], TREES)
@@ -83,7 +83,7 @@ def test_forecast_ingest(spark, tmp_path):
     write(path, {"region": "north", "start_s": start, "end_s": start + hours * 3600, "interval_s": 3600,
                  "temperature_2m": [float(h % 24) for h in range(hours)], "wind_speed_10m": [1.0 + h % 5 for h in range(hours)],
                  "wind_direction_10m": [float(h * 7 % 360) for h in range(hours)]})
-    ingest.forecast_ingest(spark, str(path), root, dt.date(2024, 1, 1))
+    ingest.forecast_ingest(spark, str(path), root)
     days = read_table(spark, root, "wind_speed_daily")
     assert days.count() == 3
     hourly = read_table(spark, root, "wind_direction_hourly")
@@ -177,18 +177,21 @@ def test_stream_rollup_equals_batch(spark, tmp_path):
 
 def test_stream_ingest_resumes(spark, tmp_path):
     landing, bronze, checkpoint = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "cp")
+    spec = TableSpec("bronze", 1, ("station_id", "timestamp"), partition_by=())
     page = lambda t, v: {"code": 0, "data": {"readings": [{"timestamp": t, "data": [{"stationId": "S1", "value": v}]}]}}
 
     def run():
-        rows = without_repeats(stream_station_readings(spark, str(landing)))
-        append_to_files(rows, bronze, checkpoint).awaitTermination()
-        return spark.read.parquet(bronze).count()
+        rows = stream_station_readings(spark, str(landing))
+        keep_readings(rows, spec, bronze, checkpoint).awaitTermination()
+        return read_table(spark, bronze, "bronze").count()
 
     write(landing / "1.json", page("2024-01-01T01:00:00+08:00", 1))
     assert run() == 1
     write(landing / "2.json", page("2024-01-01T01:00:00+08:00", 1))  # delivered again
     write(landing / "3.json", page("2024-01-01T02:00:00+08:00", 2))
     assert run() == 2 and run() == 2
+    write(landing / "4.json", page("2023-12-01T01:00:00+08:00", 3))  # new, and a month late
+    assert run() == 3
 
 
 def test_correction_refreshes_influenced_rows(spark, tmp_path):
@@ -204,3 +207,48 @@ def test_correction_refreshes_influenced_rows(spark, tmp_path):
     got = {tuple(r) for r in read_table(spark, root, "pm25_daily").select(*columns).collect()}
     assert got == {tuple(r) for r in want.select(*columns).collect()}
     assert SERIES["pm25_daily"].unit == "d"
+
+
+def test_upsert_keys_and_cut_off_swaps(spark, tmp_path, monkeypatch):
+    """NULL and numeric-looking regions; an upsert that dies while it swaps folders is completed by the next one."""
+    from aerolith.sinks import tables
+
+    t0 = dt.datetime(2024, 1, 1)
+    spec, root = TableSpec("keyed", 1, ("region", "timestamp")), str(tmp_path / "store")
+    frame = lambda rows: spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, x int")
+    read = lambda: sorted(map(tuple, read_table(spark, root, "keyed").collect()), key=str)
+    create_table(frame([(None, t0, 1), (None, t0 + DAY, 2), ("007", t0, 3), ("7", t0, 4), ("x", t0, 5)]), spec, root)
+    tables.upsert(frame([(None, t0, 10), ("007", t0, 30), ("7", t0 + DAY, 40), ("7", t0 + DAY, 41)]), spec, root)
+    want = {(None, t0, 10), (None, t0 + DAY, 2), ("007", t0, 30), ("7", t0, 4), ("7", t0 + DAY, 41), ("x", t0, 5)}
+    assert set(read()) == want and len(read()) == 6
+
+    # Dies after the first of several folders has been deleted.
+    real = tables.filesystem
+    swap = tables._swap
+
+    def cut_off(spark, path, staged, depth):
+        fs, _ = real(spark, path)
+        fs.delete(real(spark, f"{path}/{tables._folders(spark, staged, depth)[0]}")[1], True)
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(tables, "_swap", cut_off)
+    with pytest.raises(RuntimeError):
+        tables.upsert(frame([("x", t0, 50), ("y", t0, 60)]), spec, root)
+    monkeypatch.setattr(tables, "_swap", swap)
+    tables.finish_swaps(spark, spec, root)
+    want = (want - {("x", t0, 5)}) | {("x", t0, 50), ("y", t0, 60)}
+    assert set(read()) == want
+    # Removal empties a folder.
+    tables.upsert(frame([("x", t0, 51)]), spec, root, remove=frame([("y", t0, 0), (None, t0, 0)]))
+    assert set(read()) == (want - {("x", t0, 50), ("y", t0, 60), (None, t0, 10)}) | {("x", t0, 51)}
+
+
+def test_short_deliveries_build_up_history(spark, tmp_path):
+    from aerolith.plans.series import store_series
+
+    root, base = str(tmp_path / "store"), history(spark, 34, ("a",))
+    for k in range(0, 34, 17):
+        store_series(spark, base.filter(f"timestamp >= '2024-01-01' + INTERVAL {k} DAYS AND timestamp < '2024-01-01' + INTERVAL {k + 17} DAYS"), "pm25_daily", root)
+    got = {tuple(r) for r in read_table(spark, root, "pm25_daily").select("timestamp", "pm25_lag_28d").collect()}
+    want = {tuple(r) for r in table_features(add_calendar(base, False), "pm25_daily").select("timestamp", "pm25_lag_28d").collect()}
+    assert got == want and len(want) == 6
