@@ -70,7 +70,8 @@ class SeriesSpec:
         return max(self.horizons, default=0)
 
 
-_BASES = {"d": (3, 7), "h": (6, 24)}
+# Daily windows are short enough for frames of their own.
+_BASES = {"d": (), "h": (6, 24)}
 
 
 def _scalar_spec(name: str, column: str, unit: str, lags, windows) -> SeriesSpec:
@@ -134,8 +135,8 @@ def _needed(spec: SeriesSpec, window: int) -> int:
     return window if spec.min_periods == "full" else int(spec.min_periods)
 
 
-def _state(source: str, part: str, base: int) -> str:
-    return f"_{source}_{part}_{base}"
+def _state(source: str, base: int) -> str:
+    return f"_state_{source}_{base}"
 
 
 def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
@@ -166,60 +167,71 @@ def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
         first.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
     for (source, base), stats in states.items():
         frame = ordered.rowsBetween(-base, -1)
-        first += [F.count(source).over(frame).alias(_state(source, "n", base)),
-                  F.sum(source).over(frame).alias(_state(source, "sum", base))]
+        parts = [F.count(source).over(frame).alias("n"), F.sum(source).over(frame).alias("sum")]
         if "std" in stats:
-            squares = F.var_pop(source).over(frame) * F.count(source).over(frame)
-            first.append(squares.alias(_state(source, "sq", base)))
-        first += [_STATS[s](source).over(frame).alias(_state(source, s, base)) for s in ("min", "max") if s in stats]
+            parts.append((F.var_pop(source).over(frame) * F.count(source).over(frame)).alias("sq"))
+        parts += [_STATS[s](source).over(frame).alias(s) for s in ("min", "max") if s in stats]
+        first.append(F.struct(*parts).alias(_state(source, base)))
     out = df.select("*", *first)
-    return _compose(out, df.columns, spec, composed, states, ordered) if composed else out
+    return _compose(out, df.columns, spec, composed, ordered) if composed else out
 
 
-def _compose(out: DataFrame, inputs: list[str], spec: SeriesSpec, composed, states, ordered) -> DataFrame:
+def _compose(out: DataFrame, inputs: list[str], spec: SeriesSpec, composed, ordered) -> DataFrame:
+    """Windows of several base windows each, from one array of base states per row.
+
+    The states of a window are merged by ``aggregate`` over the array, so the size of the
+    generated code doesn't depend on the windows' lengths.
+    """
     pieces: dict[tuple[str, int], int] = {}
     for source, _, n, base, _ in composed:
         pieces[source, base] = max(pieces.get((source, base), 0), n // base)
-    shifted = []
+    arrays = {}
     for (source, base), count in pieces.items():
-        parts = ["n", "sum", *[p for p, s in (("sq", "std"), ("min", "min"), ("max", "max")) if s in states[source, base]]]
-        for k in range(1, count):
-            for part in parts:
-                column = _state(source, part, base)
-                shifted.append(F.lag(column, k * base).over(ordered).alias(f"{column}_{k}"))
-    out = out.select("*", *shifted)
-
-    def piece(source: str, part: str, base: int, k: int) -> Column:
-        return F.col(_state(source, part, base) + (f"_{k}" if k else ""))
-
-    totals, means = [], []
-    for i, (source, _, n, base, needed) in enumerate(composed):
-        counts = [F.coalesce(piece(source, "n", base, k), F.lit(0)) for k in range(n // base)]
-        sums = [F.coalesce(piece(source, "sum", base, k), F.lit(0.0)) for k in range(n // base)]
-        totals += [sum(counts[1:], counts[0]).alias(f"_n_{i}"), sum(sums[1:], sums[0]).alias(f"_sum_{i}")]
-        means.append(F.when(F.col(f"_n_{i}") >= needed, F.col(f"_sum_{i}") / F.col(f"_n_{i}")).alias(f"_mean_{i}"))
-    out = out.select("*", *totals).select("*", *means)
+        state = _state(source, base)
+        shifted = [F.lag(state, k * base).over(ordered) for k in range(1, count)]
+        arrays[source, base] = f"{state}_all"
+        out = out.withColumn(arrays[source, base], F.array(state, *shifted))
+
+    def merged(states: Column, part, kind: str = "double") -> Column:
+        return F.aggregate(states, F.lit(0).cast(kind), lambda total, s: total + F.coalesce(part(s), F.lit(0).cast(kind)))
+
+    sums = []
+    for i, (source, _, n, base, _) in enumerate(composed):
+        states = F.slice(arrays[source, base], 1, n // base)
+        sums += [merged(states, lambda s: s["n"], "bigint").alias(f"_n_{i}"), merged(states, lambda s: s["sum"]).alias(f"_sum_{i}")]
+    out = out.select("*", *sums)
 
     results: dict[str, Column] = {}
     for i, (source, aliases, n, base, needed) in enumerate(composed):
-        total, mean, every = F.col(f"_n_{i}"), F.col(f"_mean_{i}"), range(n // base)
+        states, total = F.slice(arrays[source, base], 1, n // base), F.col(f"_n_{i}")
+        mean = F.when(total > 0, F.col(f"_sum_{i}") / total)
         for stat, alias in aliases.items():
             if stat == "mean":
-                results[alias] = mean
+                value, least = mean, needed
             elif stat == "std":
                 # Spread inside the pieces plus spread of their means: nothing cancels out.
-                parts = []
-                for k in every:
-                    count, gap = piece(source, "n", base, k), piece(source, "sum", base, k) / piece(source, "n", base, k) - mean
-                    parts.append(F.when(count > 0, piece(source, "sq", base, k) + count * gap * gap).otherwise(0.0))
-                results[alias] = F.when((total >= needed) & (total > 1), F.sqrt(sum(parts[1:], parts[0]) / (total - 1)))
+                spread = merged(states, _spread_about(mean))
+                value, least = F.sqrt(spread / F.when(total > 1, total - 1)), needed
             else:
-                extreme = F.least if stat == "min" else F.greatest
-                results[alias] = F.when(total >= needed, extreme(*[piece(source, stat, base, k) for k in every]))
+                extreme = F.array_min if stat == "min" else F.array_max
+                value, least = extreme(F.transform(states, _part(stat))), needed
+            results[alias] = F.when(total >= least, value)
     names = [*inputs, *_feature_names(spec)]
     return out.select(*[results[c].alias(c) if c in results else F.col(c) for c in names])
 
 
+def _part(name: str):
+    return lambda state: state[name]
+
+
+def _spread_about(mean: Column):
+    def spread(state: Column) -> Column:
+        gap = state["sum"] / state["n"] - mean
+        return F.when(state["n"] > 0, state["sq"] + state["n"] * gap * gap)
+
+    return spread
+
+
 def _feature_names(spec: SeriesSpec) -> list[str]:
     names = [spec.lag_pattern.format(name=name, n=n, unit=spec.unit) for n in spec.lags for name, _ in spec.lagged]
     for n in spec.windows:

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -68,7 +69,17 @@ def test_nearest_region(spark):
     tie = geo.nearest_region(F.lit(0.0), F.lit(0.0), centroids=[("b", 1.0, 0.0), ("a", -1.0, 0.0)])
     assert spark.range(1).select(tie).first()[0] == "b"
     with pytest.raises(ValueError):
-        geo.nearest_region(F.lit(0.0), F.lit(0.0), centroids=[("x", 0.0, 0.0)] * 65)
+        geo.nearest_region(F.col("a"), F.col("o"), centroids=[])
+    # More centroids than are compared inline: the same rule, ties and missing coordinates included.
+    rng = random.Random(1)
+    many = [(f"c{i}", rng.uniform(1.2, 1.5), rng.uniform(103.6, 104.0)) for i in range(300)] + [("copy", 1.35, 103.94), ("twin", 1.35, 103.94)]
+    places = [(rng.uniform(1.2, 1.5), rng.uniform(103.6, 104.0)) for _ in range(50)] + [(1.35, 103.94)]
+    df = spark.createDataFrame([*places, (None, 103.8), (float("nan"), 103.8)], "a double, o double")
+    column = geo.nearest_region(F.col("a"), F.col("o"), centroids=many)
+    want = [min(many, key=lambda c, p=p: (p[0] - c[1]) ** 2 + (p[1] - c[2]) ** 2)[0] for p in places]
+    assert [r[0] for r in df.select(column).collect()] == [*want, None, None] and want[-1] == "copy"
+    lenient = geo.nearest_region(F.col("a"), F.col("o"), centroids=many, unmatched="first")
+    assert df.select(lenient).collect()[-1][0] == "c0"
 
 
 def test_time_rules(spark):

@@ -89,7 +89,7 @@ def test_one_exchange_for_all_features(spark):
 def test_composed_windows_with_missing_values(spark):
     df = series(spark, n=60).withColumn("pm25", F.when(F.rand(3) > 0.2, F.col("pm25")))
     df = spark.createDataFrame(df.toPandas(), df.schema)
-    spec = f.SERIES["pm25_daily"]
+    spec = replace(f.SERIES["pm25_daily"], bases=(3, 7))
     assert spec.base_of(28) == 7 and spec.base_of(3) is None and spec.base_of(7) is None
     assert_same(
         f.series_features(df, spec, complete=False), f.series_features(df, replace(spec, bases=()), complete=False),
@@ -204,3 +204,13 @@ def test_joins(spark):
 def test_group_function(spark):
     out = apply_to_groups(series(spark, n=5), ["region"], lambda g: g.head(1)[["region", "pm25"]], "region string, pm25 double")
     assert out.count() == 3
+
+
+def test_hourly_features_compile(spark, capfd):
+    """Generated code of the composed windows stays below the compiler's limits."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", t0 + dt.timedelta(hours=h), float(h % 31)) for h in range(400)]
+    df = spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, pm25 double")
+    assert f.table_features(f.add_calendar(df, True), "pm25_hourly").count() == 400 - 168 + 84
+    assert f.multi_horizon_targets(df).count() == 400 - 168 - 168
+    assert "grows beyond 64 KB" not in "".join(capfd.readouterr())
