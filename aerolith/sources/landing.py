@@ -17,18 +17,38 @@ from aerolith.functions.times import from_unix_seconds, parse_instant, regular_t
 WIDE_REGIONS = (*REGIONS, "national")
 
 
+_CORRUPT = "_corrupt_record"
+
+
 def _json(spark: SparkSession, path, schema: str, multiline: bool) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
+def _pages(spark: SparkSession, path, schema: str, multiline: bool) -> DataFrame:
+    reader = spark.read.schema(f"{schema}, {_CORRUPT} string").option("columnNameOfCorruptRecord", _CORRUPT)
+    return reader.option("multiLine", multiline).json(path).withColumn("file", F.col("_metadata.file_name"))
+
+
+def _sound(pages: DataFrame) -> DataFrame:
+    return pages.filter(F.col(_CORRUPT).isNull() & (F.coalesce("code", F.lit(0)) == 0)).drop(_CORRUPT)
+
+
 def read_station_pages(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
-    """Pages of station readings; pages that report an error carry no data and are left out."""
-    pages = _json(spark, path, schemas.STATION_PAGE, multiline)
-    return pages.filter(F.coalesce("code", F.lit(0)) == 0).withColumn("file", F.col("_metadata.file_name"))
+    """Pages of station readings; pages that report an error or can't be parsed are in ``rejected_pages``."""
+    return _sound(_pages(spark, path, schemas.STATION_PAGE, multiline))
 
 
 def read_region_pages(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
-    return _json(spark, path, schemas.REGION_PAGE, multiline).filter(F.coalesce("code", F.lit(0)) == 0)
+    return _sound(_pages(spark, path, schemas.REGION_PAGE, multiline)).drop("file")
+
+
+def rejected_pages(spark: SparkSession, path, schema: str = schemas.STATION_PAGE, multiline: bool = False) -> DataFrame:
+    """file, reason (``corrupt`` or the error code), record: what the page readers leave out."""
+    pages = _pages(spark, path, schema, multiline)
+    corrupt = F.col(_CORRUPT).isNotNull()
+    reason = F.when(corrupt, "corrupt").otherwise(F.concat(F.lit("code "), F.col("code").cast("string")))
+    bad = pages.select("file", reason.alias("reason"), F.coalesce(_CORRUPT, "errorMsg").alias("record"), corrupt.alias("c"), "code")
+    return bad.filter(F.col("c") | (F.coalesce("code", F.lit(0)) != 0)).drop("c", "code")
 
 
 def read_weather_arrays(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
@@ -71,7 +91,7 @@ def station_mentions(pages: DataFrame, day: Column, page_order: Column) -> DataF
 def _region_items(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("data.items").alias("item")).select(
         parse_instant(F.col("item.timestamp")).alias("timestamp"),
-        F.to_date("item.date").alias("date"),
+        F.try_to_timestamp("item.date").cast("date").alias("date"),
         parse_instant(F.col("item.updatedTimestamp")).alias("updated_timestamp"),
         F.col("item.readings.pm25_one_hourly").alias("readings"),
     )
@@ -111,7 +131,7 @@ def zip_arrays(df: DataFrame, parent: str, fields: Sequence[str], keep: Sequence
 def weather_days(documents: DataFrame, city: str) -> DataFrame:
     fields = ("time", "temperature_2m_mean", "precipitation_sum", "wind_speed_10m_max", "wind_direction_10m_dominant")
     rows = zip_arrays(documents, "daily", fields)
-    return rows.select(F.to_date("time").alias("date"), *fields[1:], F.lit(city).alias("city"))
+    return rows.select(F.try_to_timestamp("time").cast("date").alias("date"), *fields[1:], F.lit(city).alias("city"))
 
 
 def weather_hours(documents: DataFrame) -> DataFrame:
