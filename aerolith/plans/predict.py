@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -21,17 +21,17 @@ from aerolith.sources.tables import daily_tables, read_table
 
 
 def weekly_forecast(
-    spark: SparkSession, root: str, as_of, models: Mapping[str, PipelineModel], days: int = 7,
-    version: int | None = None, shortened: bool = False,
+    spark: SparkSession, root: str, as_of, models: Mapping[str, PipelineModel | Callable[[DataFrame], DataFrame]],
+    days: int = 7, version: int | None = None, shortened: bool = False,
 ) -> DataFrame:
-    """Forecasts of all regions from ``as_of`` on, by each region's own model."""
+    """Forecasts of all regions from ``as_of`` on, by each region's own model or scorer."""
     regions = list(models)
     tables = daily_tables(spark, root, version, regions=regions)
     weather = future_weather(
         tables["wind_direction_daily"], tables["wind_speed_daily"], tables["air_temperature_daily"], as_of, days
     ).drop("days_before_forecast_day")
     state = forecast_state(tables["pm25_daily"], weather, as_of, days)
-    scorers = {region: partial(score, model) for region, model in models.items()}
+    scorers = {region: model if callable(model) else partial(score, model) for region, model in models.items()}
     return forecast_regions(state, scorers, days, shortened)
 
 
@@ -41,7 +41,11 @@ def predict_and_store(
 ) -> DataFrame:
     """Load the models, forecast, upsert the predictions; returns them."""
     models = {region: load_model(root, region, model_version) for region in regions}
-    predictions = materialize(weekly_forecast(spark, root, as_of, models, days, version, shortened))
+    return store_forecast(spark, weekly_forecast(spark, root, as_of, models, days, version, shortened), root)
+
+
+def store_forecast(spark: SparkSession, forecast: DataFrame, root: str) -> DataFrame:
+    predictions = materialize(forecast)
     upsert(predictions, FEATURE_TABLES["aq_predictions"], root)
     return predictions
 

@@ -10,12 +10,15 @@ from aerolith.operators.features import add_calendar, table_features
 from aerolith.operators.forecast import forecast_regions, forecast_state, linear_scorer, recursive_forecast
 from aerolith.operators.joins import feature_view
 from aerolith.operators.model import (
-    TreeParams, evaluate, feature_importance, fit, fit_regions, load_model, model_features, save_model, score,
-    split_by_time,
+    TreeParams, evaluate, feature_importance, fit, fit_regions, load_metrics, load_model, model_features, save_model,
+    score, split_by_time,
 )
+from aerolith.plans.predict import store_forecast, stored_hindcast, weekly_forecast
+from aerolith.plans.series import store_series
 from aerolith.registry import query
 from aerolith.registry import adapters as a
 from aerolith.session import materialize, work_path
+from aerolith.sources.tables import read_table
 
 AS_OF = "2001-01-01"
 REGION_NAMES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -113,3 +116,66 @@ def importance(spark, sf_dir):
     _, view = _training_view(spark, sf_dir)
     train, _ = split_by_time(view, AS_OF)
     return feature_importance(fit(train, model_features(view), params=_SMALL), spark)
+
+
+def _stored_tables(spark, sf_dir, root: str) -> None:
+    tables = a.daily_tables(spark, sf_dir)
+    for name, key in (
+        ("pm25_daily", "pm25"), ("wind_direction_daily", "direction"), ("wind_speed_daily", "speed"),
+        ("air_temperature_daily", "temperature"),
+    ):
+        store_series(spark, tables[key], name, root)
+
+
+@query(
+    "weekly_forecast_stored",
+    f"""WITH {a.DAILY}, forecast AS ({_forecast_sql(False)})
+    SELECT f.region, f."timestamp", f.days_before_forecast_day, f.predicted_pm25, {a.sql_round('d.pm25', 'pm25')}
+    FROM forecast f JOIN daily d ON d.region = f.region AND d."timestamp" = f."timestamp" """,
+)
+def weekly_forecast_stored(spark, sf_dir):
+    """The week's forecast from stored tables, stored twice, and read back beside the outcomes of its days."""
+    root = work_path(spark, "weekly")
+    _stored_tables(spark, sf_dir, root)
+    scorers = {region: linear_scorer(WEIGHTS) for region in REGION_NAMES}
+    predictions = store_forecast(spark, weekly_forecast(spark, root, F.lit(AS_OF).cast("timestamp_ntz"), scorers), root)
+    store_forecast(spark, predictions, root)
+    out = stored_hindcast(spark, root)
+    return a.rounded(out.select("region", "timestamp", "days_before_forecast_day", "predicted_pm25", "pm25"))
+
+
+@query(
+    "gbt_model_properties",
+    """SELECT r_name AS region, 7 AS steps, 1 AS first_step, 7 AS last_step, 0 AS missing, TRUE AS loaded_scores_equal,
+      TRUE AS stored_metrics_equal, 1e0 AS importance_sum, TRUE AS importances_sorted FROM region""",
+)
+def gbt_model_properties(spark, sf_dir):
+    """What must hold of every region's model, whatever the trees: the forecast's rows and horizons, a loaded model
+    that scores as the fitted one, metrics that the scored rows give again, importances that sum to one."""
+    tables, view = _training_view(spark, sf_dir)
+    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
+    scored, root = materialize(scored), work_path(spark, "model_properties")
+    metrics = materialize(evaluate(scored))
+    rows = []
+    for region, model in models.items():  # one row a region reaches the driver
+        save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_SMALL)
+        loaded, mine = load_model(root, region), scored.filter(F.col("region") == region)
+        again = score(loaded, mine.withColumnRenamed("predicted_pm25", "_fitted"))
+        differing = again.filter(~F.col("predicted_pm25").eqNullSafe(F.col("_fitted"))).count()
+        error = mine.agg(F.avg((F.col("pm25") - F.col("predicted_pm25")) ** 2)).first()[0]
+        stored = load_metrics(spark, root, region).first()
+        weights = [r.importance for r in feature_importance(loaded, spark, top=1000).collect()]
+        rows.append(
+            (region, differing == 0, abs(stored.mse - error) < 1e-9 * max(1.0, error), round(sum(weights), 6),
+             weights == sorted(weights, reverse=True))
+        )
+    weather = tables["direction"].join(tables["speed"], ["region", "timestamp"]).join(tables["temperature"], ["region", "timestamp"])
+    state = forecast_state(tables["pm25"], weather, F.lit(AS_OF).cast("timestamp_ntz"))
+    forecast = forecast_regions(state, {r: partial(score, m) for r, m in models.items()})
+    step = F.col("days_before_forecast_day")
+    steps = forecast.groupBy("region").agg(
+        F.count("*").cast("int").alias("steps"), F.min(step).alias("first_step"), F.max(step).alias("last_step"),
+        F.sum(F.col("predicted_pm25").isNull().cast("int")).cast("int").alias("missing"),
+    )
+    kinds = "region string, loaded_scores_equal boolean, stored_metrics_equal boolean, importance_sum double, importances_sorted boolean"
+    return steps.join(spark.createDataFrame(rows, kinds), "region")
