@@ -18,13 +18,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import fit_fold
+from aerolith.llm.common import fit_fold, slices
 from aerolith.llm.sampling import sample_by_label
 
 WIDTHS = (2, 3, 4)
@@ -116,10 +115,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(
-    x: np.ndarray, y: np.ndarray, languages: list[str], filters: int = 12, epochs: int = 4, batch: int = 96,
+    x: np.ndarray, y: np.ndarray, languages: list[str], filters: int = 12, steps: int = 300, batch: int = 96,
     rate: float = 0.02, seed: int = 3,
 ) -> ByteNetwork:
-    """Fit to windows ``x`` with class numbers ``y``; gradients flow to each filter's largest response only."""
+    """Fit to windows ``x`` with class numbers ``y``; gradients flow to each filter's largest response only.
+
+    As many steps for few windows as for many, so that a small sample is learnt as well.
+    """
     rng = np.random.default_rng(seed)
     k = len(WIDTHS) * filters
     tables = {w: rng.normal(0, 0.3, (w, 256, filters)).astype(np.float32) for w in WIDTHS}
@@ -128,7 +130,7 @@ def train(
     net = ByteNetwork(languages, tables, *values[len(WIDTHS) :])
     first, second, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
     columns = np.arange(filters)
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(x))
         for i in range(0, len(x), batch):
             xb, yb = x[order[i : i + batch]], y[order[i : i + batch]]
@@ -197,7 +199,7 @@ def predict(docs: DataFrame, model: ByteNetwork) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = model.judge(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -211,9 +213,11 @@ def predict(docs: DataFrame, model: ByteNetwork) -> DataFrame:
 def readable(docs: DataFrame, model: ByteNetwork, least: float = 0.5) -> DataFrame:
     """``docs`` without texts of unknown language or with a score below ``least``."""
 
-    @F.pandas_udf("boolean")
-    def accepted(texts):
-        names, scores = model.judge([t if isinstance(t, str) else None for t in texts])
-        return pd.Series([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], dtype=bool)
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            names, scores = model.judge(batch.column(text).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
 
-    return docs.where(accepted(F.col("text").cast("string")))
+    return docs.mapInArrow(run, docs.schema)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.llm.common import slices
+
 # What the base patterns are and how long a match must be.
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(
@@ -219,11 +221,14 @@ def scan(docs: DataFrame, model: SecretModel) -> DataFrame:
 def redact(docs: DataFrame, model: SecretModel, mark: str = "[secret]") -> DataFrame:
     """``docs`` with each span, or chain of overlapping spans, of ``text`` replaced by ``mark``; null text stays null."""
 
-    @F.pandas_udf("string")
-    def cleaned(texts):
-        return texts.map(lambda t: _redacted(t, model, mark), na_action="ignore")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [None if t is None else _redacted(t, model, mark) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.withColumn("text", cleaned(F.col("text")))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _redacted(text: str, model: SecretModel, mark: str) -> str:

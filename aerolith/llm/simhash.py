@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import SLICE_CHARS, grouped_by_size, stored
+from aerolith.llm.common import SLICE_CHARS, grouped_by_size, slices, stored
 
 SEED = 42
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """doc_id, fp: the fingerprint of every whole text as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for i, j in grouped_by_size(texts):
                 found = majority_bits([shingle_hashes(t, shingle_words) for t in texts[i:j]])
