@@ -97,12 +97,12 @@ def plan(counts: dict[int, int], capacity: int) -> list[Entry]:
     return entries
 
 
-def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int) -> DataFrame:
+def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int, most_words: int) -> DataFrame:
     """The pieces of each document, numbered within (task, length)."""
     end = np.array([separator], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, words = TaskContext.get().partitionId(), encoder(vocabulary)
+        task, words = TaskContext.get().partitionId(), encoder(vocabulary, most_words)
         seen = np.zeros(capacity + 1, np.int64)
         names = [column.split()[0] for column in PIECE.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
@@ -128,7 +128,8 @@ def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int) -> Data
 
 
 def pack(
-    docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, separator: int = 0, payload: Column | None = None
+    docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, separator: int = 0, payload: Column | None = None,
+    most_words: int = 600_000,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id, offset: every document's pieces and their places.
 
@@ -139,7 +140,7 @@ def pack(
     length, the first piece takes the rest.  Null or empty text is the separator alone.  Repeated rows
     and ids are documents of their own.  An empty table gives no piece.  Other columns are not read.
     """
-    pieces = stored(cut(docs, capacity, vocabulary, separator), "pieces")
+    pieces = stored(cut(docs, capacity, vocabulary, separator, most_words), "pieces")
     counts = pieces.groupBy("length", "_task").agg(F.count("*").alias("_n"))
     counts = stored(counts, "piece-counts")  # at most ``capacity`` rows a task
     totals = counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()  # at most ``capacity`` rows

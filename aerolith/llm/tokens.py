@@ -107,6 +107,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and vocabulary."""
-    return WordEncoder(path)
+def encoder(path: str, most_words: int = 600_000) -> WordEncoder:
+    """One encoder per Python worker and vocabulary; fewer remembered words take less memory and more time."""
+    return WordEncoder(path, most_words)

@@ -38,7 +38,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each document's pieces lie in sequences of 2048 tokens."""
-    return packing.pack(docs, payload=F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return packing.pack(docs, payload=F.crc32("ids"), most_words=200_000).withColumnRenamed("ids", "ids_crc32")
 
 
 STAGES = [
