@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models for random strings.
 
 Two Markov models of third order statistics, one of random strings and one of ordinary
-identifiers, score every run of key characters that no pattern covers.  A run whose
-log-likelihood ratio per character exceeds a threshold is a span of kind ``markov``.
+identifiers, score every run of key characters that no pattern covers.  The parts of a run
+between ``/ _ - =`` are scored one by one: neighbours whose log-likelihood ratio per character
+together exceeds a threshold are a span of kind ``markov``, so words before or behind a key
+neither hide it nor belong to its span.
 
 Null text is empty text: no span.  Offsets are code points, ends exclusive.  Rows are judged
 one by one, so ties, repeated rows and ids change nothing; only doc_id and text are read.
@@ -32,6 +34,9 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = re.compile(rb"[A-Za-z0-9+/_=-]+")
+_PIECE = re.compile(rb"[A-Za-z0-9+]+|[/_=-]+")
+#: A piece of so few characters, or of no worse a ratio below the threshold, says too little to be cut off the key beside it.
+_SHORT_PIECE, _UNSURE = 3, -0.3
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 
@@ -112,16 +117,75 @@ class SecretModel:
     def ratio(self, s: bytes) -> float:
         return (self.random.score(s) - self.ordinary.score(s)) / len(s)
 
+    def segments(self, s: bytes) -> list[tuple[int, int]]:
+        """Maximal sequences of pieces of a run whose ratio exceeds the threshold, ``least`` or more characters each.
+
+        Ruzzo and Tompa's linear method over the pieces' sums.  A run that only as a whole is long
+        and random enough is one segment.
+        """
+        codes = _codes(s)
+        excess = (self.random.logs - self.ordinary.logs)[codes[:-2], codes[1:-1], codes[2:]] - self.threshold
+        sums = np.concatenate([[0.0], np.cumsum(excess, dtype=np.float64)])
+        pieces = [m.span() for m in _PIECE.finditer(s)]
+        found: list[tuple[int, int, int]] = []  # first piece, last piece, place of the nearest one that begins lower
+        for k, (start, end) in enumerate(pieces):
+            if sums[end] <= sums[start]:
+                continue
+            first, j = k, len(found) - 1
+            while True:
+                while j >= 0 and sums[pieces[found[j][0]][0]] >= sums[pieces[first][0]]:
+                    j = found[j][2]
+                if j < 0 or sums[pieces[found[j][1]][1]] >= sums[end]:
+                    found.append((first, k, j))
+                    break
+                first, before = found[j][0], found[j][2]
+                del found[j:]
+                j = before
+        out: list[tuple[int, int]] = []
+        for first, last, _ in found:
+            if pieces[last][1] - pieces[first][0] < self.least:
+                continue
+            first, last = self._with_unsure_pieces(sums, pieces, first, last)
+            if out and pieces[first][0] < out[-1][1]:
+                out[-1] = (out[-1][0], pieces[last][1])
+            else:
+                out.append((pieces[first][0], pieces[last][1]))
+        return out or ([(0, len(s))] if sums[-1] > 0 else [])
+
+    def _with_unsure_pieces(self, sums: np.ndarray, pieces: list[tuple[int, int]], first: int, last: int) -> tuple[int, int]:
+        """A segment and the unsure pieces beside it, while it stays above the threshold: a key may hold a ``/``."""
+
+        def unsure(k: int) -> bool:
+            low, high = pieces[k]
+            return high - low <= _SHORT_PIECE or sums[high] - sums[low] > _UNSURE * (high - low)
+
+        while first >= 2 and unsure(first - 2) and sums[pieces[last][1]] > sums[pieces[first - 2][0]]:
+            first -= 2
+        while last + 2 < len(pieces) and unsure(last + 2) and sums[pieces[last + 2][1]] > sums[pieces[first][0]]:
+            last += 2
+        return first, last
+
     def spans(self, data: bytes) -> list[Span]:
-        """Base spans, and runs that no base span touches and that look random."""
+        """Base spans, and what looks random in the runs outside them."""
         spans = base_spans(data)
         added = []
         for start, end in runs(data, self.least):
-            if all(end <= s or e <= start for s, _, e in spans) and self.ratio(data[start:end]) > self.threshold:
-                added.append((start, 3, end))
+            for low, high in _outside(start, end, spans):
+                if high - low >= self.least:
+                    added += [(low + a, 3, low + b) for a, b in self.segments(data[low:high])]
         return sorted(spans + added)
 
 
+def _outside(start: int, end: int, spans: list[Span]) -> list[tuple[int, int]]:
+    """The parts of a range that no span touches; ``spans`` by start."""
+    out = []
+    for s, _, e in spans:
+        if s < end and start < e:
+            out.append((start, s))
+            start = e
+    return [*out, (start, end)]
+
+
 def made_secrets(rng: np.random.Generator, count: int) -> list[bytes]:
     """Random strings over the alphabets that keys are written in."""
     lower, upper, digits = ALPHABET[26:52], ALPHABET[:26], ALPHABET[52:62]

@@ -85,3 +85,32 @@ def test_clean_documents_stay_clean(documents, model):
     with_base = {r.doc_id for r in documents.collect() if brute_base(r.text)}
     found = secrets.scan(documents, model).where(F.size("spans") > 0).collect()
     assert {r.doc_id for r in found} == with_base
+
+
+def test_keys_behind_words_are_found(model, documents):
+    """Each key beside words of the documents: its span holds the whole key, seldom a word."""
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(secrets.ALPHABET[:62], np.uint8)
+    plain = [r.text for r in documents.orderBy("doc_id").collect() if not brute_base(r.text)]
+    words = sorted({w for t in plain for w in re.findall("[a-z]{5,12}", t or "")})
+    forms = ["{k}", "{a}/{k}", "{a}/{b}/{k}", "{a}/{b}/{c}/{d}/{k}", "{A}_{B}_{C}={k}", "{a}-{b}-{k}", "https://{a}/{b}/{k}/{c}", "{k}/{a}/{b}"]
+    for form in forms:
+        for size, least in ((20, 0.85), (32, 0.9), (40, 0.9)):
+            whole = exact = 0
+            for _ in range(100):
+                key = rng.choice(letters, size).tobytes().decode()
+                some = dict(zip("abcd", (words[i] for i in rng.integers(0, len(words), 4))))
+                text = form.format(k=key, **some, **{n.upper(): w.upper() for n, w in some.items()})
+                at = text.index(key), text.index(key) + size
+                spans = [(s, e) for s, _, e in model.spans(text.encode()) if s <= at[0] and at[1] <= e]
+                whole, exact = whole + len(spans), exact + (spans == [at])
+            assert whole / 100 >= least and exact / 100 >= 0.4, (form, size, whole, exact)
+
+
+def test_several_keys_and_spans_in_one_run(model):
+    one, two = "Zk3vQ9xT1bN7rW5yH2mJ8pL4", "q7RtX2mV9bKcW4zPn8LsD3Fy"
+    text = f"{one}/reading/configuration/stream/{two}/handler/AKIA{'B2' * 8}"
+    at = [text.index(one), text.index(two), text.index("AKIA")]
+    assert model.spans(text.encode()) == [(at[0], 3, at[0] + 24), (at[1], 3, at[1] + 24), (at[2], 1, len(text))]
+    plain = "/".join(["reading", "configuration", "stream", "handler", "the"] * 2000)
+    assert model.segments(plain.encode()) == [] and len(model.segments(f"{plain}/{one}/{plain}/{two}".encode())) == 2
