@@ -9,7 +9,8 @@ exact cosine of the original vectors in double precision.
 
 Hot lists are cut into chunks of bounded size by a hash of the id, and each chunk is scanned for
 the queries that probe the list, so no group holds more than a chunk.  Before the scan each query
-takes its k-th best distance to the sample as a bound, which is correct for all lists.
+takes the distance of the k-th nearest id of the sample as a bound, which is correct for all lists.
+Results come from the lists alone, whatever the size of the table.
 
 Vectors that are null, zero, or hold null or non-finite numbers take no part, nor do those whose
 number of dimensions isn't the most frequent one.  Ties go to the smaller id; of repeated ids the
@@ -52,18 +53,18 @@ class Index:
         """The nearest ``probes`` centroids of each row, nearest first."""
         return np.argsort(-(rotated @ self.centroids.T), axis=1, kind="stable")[:, :probes]
 
-    def nearest_of_sample(self, ids: np.ndarray, x: np.ndarray, k: int) -> list[list[tuple[int, float]]]:
-        """(id, exact cosine) of the ``k`` nearest other vectors of the sample, nearest first."""
-        d = self.rotated(x) @ self.sample.T
-        d[ids[:, None] == self.sample_ids[None]] = -np.inf
-        some = np.argpartition(-d, min(2 * k, d.shape[1] - 1), axis=1)[:, : 2 * k]  # single precision: a few more
-        out = []
-        for row, near, query in zip(d, some, x, strict=True):
-            near = near[np.isfinite(row[near])]
-            score = cosines(self.originals[near], query)
-            best = np.lexsort((self.sample_ids[near], -score))[:k]
-            out.append(list(zip(self.sample_ids[near][best].tolist(), score[best].tolist(), strict=True)))
-        return out
+    def bounds(self, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+        """Squared distance of each row of ``x`` to its ``k``-th nearest other id of the sample; infinite if there are fewer.
+
+        Repeated ids count once, with their nearest vector.
+        """
+        own, starts = np.unique(self.sample_ids, return_index=True)  # the sample is sorted by id
+        if len(own) < k:
+            return np.full(len(ids), np.inf)
+        near = np.maximum.reduceat(self.rotated(x) @ self.sample.T, starts, axis=1)
+        near[ids[:, None] == own[None]] = -np.inf
+        kth = np.partition(near, len(own) - k, axis=1)[:, len(own) - k]
+        return 2 - 2 * kth.astype(np.float64) + 1e-5  # a little more, for single precision
 
 
 def cosines(x: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -163,26 +164,21 @@ def search(
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 x = np.array(part.column(1).to_pylist(), np.float64)
-                near = index.nearest_of_sample(part.column(0).to_numpy(), x, k)
-                # A little more than the squared distance of the k-th, for single precision.
-                bounds = [2 - 2 * n[-1][1] + 1e-5 if len(n) == k else np.inf for n in near]
-                first = [[{"vec_id": i, "score": s} for i, s in n] for n in near]
+                bounds = index.bounds(part.column(0).to_numpy(), x, k)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array(bounds, pa.float64()),
                         pa.array(index.lists(index.rotated(x), probes).tolist(), pa.list_(pa.int32())),
-                        pa.array(first, pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))),
                     ],
-                    ["query_id", "q", "bound", "lists", "near"],
+                    ["query_id", "q", "bound", "lists"],
                 )
 
     indexed = stored(rows.mapInArrow(placed, "id long, v array<double>, list int"), "ann-lists")
     sizes = indexed.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))  # one row a list
     sizes = F.broadcast(sizes.limit(lists))
     candidates = indexed.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    kind = "query_id long, q array<double>, bound double, lists array<int>, near array<struct<vec_id:long,score:double>>"
+    kind = "query_id long, q array<double>, bound double, lists array<int>"
     asked = stored(usable(queries, key, vector).mapInArrow(probed, kind), "ann-queries")
-    first = asked.select("query_id", F.inline("near"))
     blocks = -(-asked.count() // chunk) or 1
     asked = asked.select("query_id", "q", "bound", F.explode("lists").alias("list")).join(sizes, "list")
     asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -211,7 +207,7 @@ def search(
     group = ["list", "chunk", "part"]
     asked, candidates = asked.select(*group, "query_id", "q", "bound"), candidates.select(*group, "id", "v")
     grouped = asked.groupBy(*group).cogroup(candidates.groupBy(*group))
-    hits = grouped.applyInPandas(scan, out).unionByName(first)
+    hits = grouped.applyInPandas(scan, out)
     hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -72,3 +72,31 @@ def test_many_equal_vectors(spark):
             assert [i for _, i, _ in best] == [i for i in range(0, 900, 3) if i != q][:5]
             assert all(abs(s - 1) < 1e-12 for _, _, s in best)
     assert df.where(F.col("vec_id") % 50 == 0).count() == len(found)
+
+
+def test_recall_with_production_parameters(spark):
+    """Given tables, and one larger than the sample: lists, probes and epsilon are those of the query."""
+    rng = np.random.default_rng(3)
+    given = {sf: spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet") for sf in ("sf0.01", "sf0.1")}
+    base = np.array([r.embedding for r in given["sf0.1"].collect()])
+    x = base[rng.integers(0, len(base), 12_000)] + rng.normal(size=(12_000, base.shape[1])) * base.std()
+    large = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for name, df in {**given, "large": large}.items():
+        rows = [(r.vec_id, r.embedding) for r in df.collect()]
+        queries = [r for r in rows if r[0] % (50 if name != "large" else 400) == 0]
+        asked = df.where(F.col("vec_id").isin([i for i, _ in queries]))
+        expected, found = brute(rows, queries, 5), results(ann.search(df, asked))
+        hits = sum(len({i for _, i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+        print(name, hits / (5 * len(expected)))
+        assert hits / (5 * len(expected)) >= 0.9, name
+
+
+def test_the_sample_gives_no_results(spark):
+    """One of many lists probed: the rows of the other lists are no results, though the sample holds all of them."""
+    rng = np.random.default_rng(4)
+    centres = np.eye(8) * 10
+    rows = [(i, (centres[i % 8] + rng.normal(size=8) * 0.1).tolist()) for i in range(32)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = results(ann.search(df, df.where("vec_id = 0"), k=9, lists=8, probes=1))
+    assert 0 < len(found[0]) < 9
+
