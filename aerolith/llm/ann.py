@@ -109,11 +109,19 @@ def fit(rows: DataFrame, lists: int = 64, sample: int = 8192, rounds: int = 8, s
 
 
 def scan_chunk(
-    query: np.ndarray, bound: float, columns: list[np.ndarray], k: int, epsilon: float
+    query: np.ndarray, bound: float, columns: list[np.ndarray], ids: np.ndarray, own: int, k: int, epsilon: float
 ) -> np.ndarray:
-    """Rows of a chunk that survive the scan for one rotated query; ``columns``: the chunk's blocks of columns."""
+    """Rows of a chunk that survive the scan for one rotated query of id ``own``; ``columns``: the chunk's blocks of columns.
+
+    ``ids``, the rows' ids, are sorted.  Rows of the query's own id don't take part, and of the ``k`` nearest each id is one.
+    """
     total = sum(c.shape[1] for c in columns)
+    low, high = np.searchsorted(ids, own), np.searchsorted(ids, own, side="right")
     alive, partial, seen = None, None, 0
+    if low < high:
+        alive = np.concatenate([np.arange(low), np.arange(high, len(ids))])
+        if not len(alive):
+            return alive
     for block in columns:
         part = query[seen : seen + block.shape[1]]
         rows = block if alive is None else block[alive]
@@ -130,8 +138,11 @@ def scan_chunk(
             return alive
     alive = np.arange(len(partial)) if alive is None else alive
     limit = bound
-    if len(partial) > k:
-        limit = min(limit, float(np.partition(partial, k - 1)[k - 1]) + 1e-5)
+    if len(alive) > k:
+        found = ids[alive]
+        nearest = np.minimum.reduceat(partial, np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])))
+        if len(nearest) > k:
+            limit = min(limit, float(np.partition(nearest, k - 1)[k - 1]) + 1e-5)
     return alive[partial <= limit + 1e-5]
 
 
@@ -196,11 +207,11 @@ def search(
         q = np.array(asked_rows["q"].tolist(), np.float64)
         found = []
         for query_id, vec, turned_q, bound in zip(asked_rows["query_id"], q, index.rotated(q), asked_rows["bound"]):
-            alive = scan_chunk(turned_q, bound, columns, k + 1, epsilon)
-            alive = alive[ids[alive] != query_id]
+            alive = scan_chunk(turned_q, bound, columns, ids, query_id, k, epsilon)
             if len(alive):
                 score = cosines(x[alive], vec)
-                best = np.lexsort((ids[alive], -score))[:k]
+                best = np.lexsort((ids[alive], -score))
+                best = best[np.sort(np.unique(ids[alive][best], return_index=True)[1])[:k]]  # the best row of each id
                 found += [(query_id, i, s) for i, s in zip(ids[alive][best].tolist(), score[best].tolist())]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 

@@ -100,3 +100,16 @@ def test_the_sample_gives_no_results(spark):
     found = results(ann.search(df, df.where("vec_id = 0"), k=9, lists=8, probes=1))
     assert 0 < len(found[0]) < 9
 
+
+def test_repeated_ids_take_no_places(spark):
+    """The nearest id six times, the query's own id five times: k other ids are found all the same."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(300)]
+    rows += [(i, (np.array(v) + 1e-4 * rng.normal(size=16)).tolist()) for i, v in rows[:1] for _ in range(5)]
+    near = (np.array(rows[0][1]) + 0.01).tolist()
+    rows += [(1000, near)] * 6 + [(1001, (np.array(near) + 0.02).tolist())] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = spark.createDataFrame(rows[:1], df.schema)
+    for settings in ({"lists": 1, "probes": 1}, {"lists": 4, "probes": 4, "chunk": 50}, {"lists": 1, "probes": 1, "sample": 20}):
+        found = results(ann.search(df, one, epsilon=50.0, **settings))
+        assert [i for _, i, _ in found[0]] == [i for i, _ in brute(rows, rows[:1], 5)[0]], settings
