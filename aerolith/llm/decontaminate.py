@@ -4,9 +4,9 @@
    size whatever the benchmark, tells a scan of the training texts which places to look at;
    around those it cuts stretches of words.  Nothing else of the corpus moves.
 2. The stretches' n-grams are joined with the seeds by equal keys.  A stretch and an item are
-   aligned if they share a seed that is rare (in at most ``rare`` documents) or two different
-   seeds.  So a common phrase alone starts no alignment, and an item that has leaked into
-   very many documents, whose seeds are not rare for that reason, is still found.
+   aligned if they share a seed that few items hold (at most ``rare``) or two different seeds.
+   So a phrase of very many items alone starts no alignment; how often the corpus holds a seed
+   doesn't matter, and an item that has leaked into very many documents is found in each.
 3. Smith-Waterman over words (match 2, mismatch and gap -1), many pairs at a time, gives the
    best local score.  Divided by that of the whole item it is 1 for a verbatim copy; edits
    and left out parts lower it.  At ``least`` or above a document is contaminated.
@@ -212,14 +212,13 @@ def contaminated(
     places = stored(stretches(docs, Bloom.of(seeds, known.n), size, known.m or 0), "stretches")
     texts = seeds.select("item_id", "item_words").distinct().withColumn("item", F.xxhash64("item_id", "item_words"))
     by_gram = seeds.select("gram", F.xxhash64("item_id", "item_words").alias("item"))
-    # A stretch counts as a document: one is cut in two only where its matches lie far apart.
     grams = places.select("stretch", F.explode("grams").alias("gram"))
-    spread = grams.groupBy("gram").agg(F.count("*").alias("documents"))
+    spread = by_gram.groupBy("gram").agg(F.count("*").alias("items"))
     # One passage may be in a third of all documents: its seeds are dealt over many keys.
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     known_grams = by_gram.join(spread, "gram").withColumn("salt", salts)
     shared = grams.withColumn("salt", F.pmod("stretch", F.lit(_SALTS)).cast("int")).join(known_grams, ["gram", "salt"])
-    pairs = shared.groupBy("stretch", "item").agg(F.min("documents").alias("fewest"), F.countDistinct("gram").alias("n"))
+    pairs = shared.groupBy("stretch", "item").agg(F.min("items").alias("fewest"), F.countDistinct("gram").alias("n"))
     pairs = pairs.where((F.col("fewest") <= rare) | (F.col("n") >= 2)).select("stretch", "item")
     rows = places.drop("grams").join(pairs, "stretch").join(texts, "item")
     rows = rows.select("doc_id", "item_id", "first_word", "words", "item_words")

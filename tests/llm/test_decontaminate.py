@@ -96,3 +96,17 @@ def test_slices_of_long_texts(spark, planted, monkeypatch):
     words = docs[0][1]
     seeds = {h for _, t in items for h in d.gram_hashes(d.words_of(t), 5).tolist()}
     assert seeds & set(d.gram_hashes(d.words_of(words), 5).tolist())
+
+
+def test_edited_copies_leaked_more_often_than_rare(spark):
+    """Words 6 and 11 of 15 changed: one seed is left, in more documents than ``rare``; every copy is found."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    words = [word() for _ in range(15)]
+    edited = [word() if k in (5, 10) else w for k, w in enumerate(words)]
+    items = [(1, " ".join(words)), (2, " ".join(word() for _ in range(20)))]
+    docs = [(i, " ".join([*(word() for _ in range(30)), *edited, *(word() for _ in range(30))])) for i in range(120)]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert len(set(d.gram_hashes(d.words_of(items[0][1]), 5).tolist()) & set(d.gram_hashes(d.words_of(docs[0][1]), 5).tolist())) == 1
+    got = found(d.contaminated(left, right))
+    assert got == brute(docs, items) and len(got) == 120
