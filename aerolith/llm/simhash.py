@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from aerolith.llm.common import SLICE_CHARS, grouped_by_size, slices, stored
 
@@ -160,8 +161,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable over links, its own included) per row of ``docs``."""
+def _rooted(docs: DataFrame, radius: int, shingle_words: int) -> DataFrame:
+    """doc_id, fp, root (a fingerprint that names the component), component_id per row of ``docs``."""
     rows = stored(fingerprints(docs, shingle_words), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     roots = components(links(nodes, radius))
@@ -169,27 +170,49 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle_words: int = 3) ->
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     linked = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(linked, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(linked, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable over links, its own included) per row of ``docs``."""
+    return _rooted(docs, radius, shingle_words).drop("root")
 
 
 def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def _with_fingerprint(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """``docs`` and ``_fp``, each row's fingerprint."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            found = [majority_bits([shingle_hashes(t, shingle_words)])[0] for t in texts]
+            yield batch.append_column("_fp", pa.array(np.array(found, np.uint64).view(np.int64)))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
+
+
 def one_of_each(docs: DataFrame, radius: int = 3, shingle_words: int = 3) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component; rows of equal id and text count once.
+    """One row of ``docs`` for each component: that of the smallest doc_id, any one of them if several have this id.
 
-    Rows with a null id stay. Only ids of rows that go are joined with the rows, which keep their columns.
+    Rows with a null id stay. Only ids of rows that go are joined with the rows, which keep their columns; rows
+    whose id is not theirs alone are told apart by their fingerprints.
     """
-    found = near_duplicates(docs, radius, shingle_words)
-    found = stored(found, "near-duplicates")
+    found = stored(_rooted(docs, radius, shingle_words), "near-duplicates")
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(stored(gone, "copies"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = stored(gone, "copies")
     twice = found.groupBy(F.col("doc_id").alias("_twice")).agg(F.count("*").alias("n")).where("n > 1 and _twice is not null")
     twice = stored(twice.select("_twice"), "repeated-ids")
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
     if twice.isEmpty():
         return kept
     again = F.col("doc_id") == F.col("_twice")
-    once = kept.join(twice, again, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(twice, again, "left_anti").unionByName(once)
+    first = found.join(twice, again, "left_semi").where(F.col("doc_id") == F.col("component_id"))
+    first = first.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_own"), F.col("root").alias("_root")).distinct()
+    rows = _with_fingerprint(docs.join(twice, again, "left_semi"), shingle_words)
+    once = rows.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_fp") == F.col("_own"))).dropDuplicates(["_root"])
+    return kept.join(twice, again, "left_anti").unionByName(once.select(*docs.columns))

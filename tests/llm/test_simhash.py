@@ -102,3 +102,15 @@ def test_one_of_each_group(made, documents):
     assert rows.columns == made.columns
     ids = [r.doc_id for r in rows.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 9, 10] and ids.count(None) == 1
+
+
+def test_one_of_each_with_repeated_ids(spark):
+    """A clean text stays though its id is also a copy's; near copies that share an id count once."""
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400))
+    copied, clean, other, apart, near = text(), text(), text(), text(), text()
+    rows = [(1, copied), (7, copied), (7, clean), (8, other), (8, apart), (9, near), (9, near + " end"), (None, copied)]
+    assert 0 < (brute_fingerprint(near) ^ brute_fingerprint(near + " end")).bit_count() <= 3
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, r.text.removesuffix(" end")) for r in kept)
+    assert got == Counter([(1, copied), (7, clean), (8, other), (8, apart), (9, near), (None, copied)])
