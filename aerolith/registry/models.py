@@ -84,17 +84,17 @@ def _training_view(spark, sf_dir):
     return t, materialize(feature_view(pm25, t["direction"], t["speed"], t["temperature"]))
 
 
-_SMALL = TreeParams(rounds=3, learning_rate=0.1, max_depth=3, seed=42)
+_PARAMS = TreeParams()  # the production setting
 
 
 @query("gbt_forecast")
 def gbt_forecast(spark, sf_dir):
-    """Fit a small model per region, store and load it, and forecast a week with each."""
+    """Fit a model per region, store and load it, and forecast a week with each."""
     tables, view = _training_view(spark, sf_dir)
-    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
+    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _PARAMS)
     metrics, root = materialize(evaluate(scored)), work_path(spark, "models")
     for region, model in models.items():
-        save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_SMALL)
+        save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_PARAMS)
     scorers = {region: partial(score, load_model(root, region)) for region in REGION_NAMES}
     weather = tables["direction"].join(tables["speed"], ["region", "timestamp"]).join(
         tables["temperature"], ["region", "timestamp"]
@@ -106,7 +106,7 @@ def gbt_forecast(spark, sf_dir):
 @query("gbt_test_metrics")
 def gbt_test_metrics(spark, sf_dir):
     _, view = _training_view(spark, sf_dir)
-    _, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
+    _, scored = fit_regions(view, REGION_NAMES, AS_OF, _PARAMS)
     return evaluate(scored)
 
 
@@ -115,7 +115,7 @@ def importance(spark, sf_dir):
     """Importances of one model for all regions together."""
     _, view = _training_view(spark, sf_dir)
     train, _ = split_by_time(view, AS_OF)
-    return feature_importance(fit(train, model_features(view), params=_SMALL), spark)
+    return feature_importance(fit(train, model_features(view), params=_PARAMS), spark)
 
 
 def _stored_tables(spark, sf_dir, root: str) -> None:
@@ -153,12 +153,12 @@ def gbt_model_properties(spark, sf_dir):
     """What must hold of every region's model, whatever the trees: the forecast's rows and horizons, a loaded model
     that scores as the fitted one, metrics that the scored rows give again, importances that sum to one."""
     tables, view = _training_view(spark, sf_dir)
-    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _SMALL)
+    models, scored = fit_regions(view, REGION_NAMES, AS_OF, _PARAMS)
     scored, root = materialize(scored), work_path(spark, "model_properties")
     metrics = materialize(evaluate(scored))
     rows = []
     for region, model in models.items():  # one row a region reaches the driver
-        save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_SMALL)
+        save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, params=_PARAMS)
         loaded, mine = load_model(root, region), scored.filter(F.col("region") == region)
         again = score(loaded, mine.withColumnRenamed("predicted_pm25", "_fitted"))
         differing = again.filter(~F.col("predicted_pm25").eqNullSafe(F.col("_fitted"))).count()
