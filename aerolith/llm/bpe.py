@@ -156,8 +156,9 @@ class WordBpe:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         model, normalizer, splitter = described["model"], described["normalizer"], described["pre_tokenizer"]
-        names = [part["type"] for part in normalizer["normalizers"]]
-        if names != _NORMALIZERS or splitter["pretokenizers"][0]["pattern"]["Regex"] != _PATTERN:
+        names = [part["type"] for part in (normalizer or {}).get("normalizers", [])]
+        patterns = [part.get("pattern", {}).get("Regex") for part in (splitter or {}).get("pretokenizers", [])]
+        if names != _NORMALIZERS or patterns != [_PATTERN, None]:
             raise ValueError(f"{path} normalises or splits in another way")
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import (
-    ann, bpe, chat, decontaminate, direct_codes, lang_id, packing, secrets, simhash, toxicity, url_filter,
+    ann, bpe, chat, decontaminate, direct_codes, lang_id, packing, secrets, simhash, spelling, toxicity, url_filter,
 )
 from aerolith.llm.common import table
 
@@ -81,11 +81,16 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_language_id, op3_toxicity, op4_secret_scan, op5_adaptive_scan, op6_decontamination,
         op7_best_fit_packing, op8_simhash, op9_url_filter, op10_token_files, op11_bpe,
+        op12_spelling_variants,
     )
 }
 
