@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import (
-    ann, bpe, chat, decontaminate, direct_codes, lang_id, packing, secrets, simhash, spelling, toxicity, url_filter,
+    ann, bpe, chat, decontaminate, direct_codes, lang_id, packing, secrets, simhash, spelling, toxicity, url_filter, whitening,
 )
 from aerolith.llm.common import table
 
@@ -85,12 +85,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_language_id, op3_toxicity, op4_secret_scan, op5_adaptive_scan, op6_decontamination,
         op7_best_fit_packing, op8_simhash, op9_url_filter, op10_token_files, op11_bpe,
-        op12_spelling_variants,
+        op12_spelling_variants, op13_embedding_whitening,
     )
 }
 
