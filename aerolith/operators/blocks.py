@@ -8,59 +8,46 @@ same results from windows over ``(key, block)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.session import materialize
+
 BLOCK = "_block"
 OWN = "_own"
-_UNITS = ("day", "hour", "minute", "second")
-
+#: A table of so many rows (key and range of rows each) is broadcast; beyond, Spark joins by shuffle.
+MOST_RUNS = 1_000_000
 
-def _part_of_day(ts: Column, bucket: str) -> Column:
-    """Number of the hour, minute or second within the day, read off the clock fields."""
-    part = F.lit(0)
-    if bucket != "day":
-        part = F.hour(ts)
-    if bucket in ("minute", "second"):
-        part = part * 60 + F.minute(ts)
-    if bucket == "second":
-        part = part * 60 + F.second(ts)
-    return part
 
+def with_row_number(df: DataFrame, keys: Sequence[str], order: str, tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``_row``: 0-based position in the key's series, without a key being sorted in one task.
 
-def with_row_number(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: str = "hour", tie: Sequence[str] = ()
-) -> DataFrame:
-    """Add ``_row``: 0-based position in the key's series, without sorting a key in one task.
-
-    Rows are numbered inside (key, time bucket), and the buckets' sizes are summed up in two
-    levels: buckets inside a day, then days.  The widest group any task sees is one bucket
-    of one key, or one key's list of days.
+    The rows are dealt by ranges of (key, order) once, sorted there and written with their number
+    inside the range; a hot key simply fills several ranges.  The rows of a key in each range,
+    one number a range and key, then tell where the range's rows begin in the key's series.
     """
-    if bucket not in _UNITS:
-        raise ValueError(f"bucket is one of {_UNITS}")
-    rows = df.withColumns({"_day": F.to_date(order), "_part": _part_of_day(F.col(order), bucket)})
-    by_part = [*keys, "_day", "_part"]
-
-    sizes = rows.groupBy(*by_part).agg(F.count(F.lit(1)).alias("_n"))
-    inside_day = Window.partitionBy(*keys, "_day").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    part_offsets = sizes.select(*by_part, F.coalesce(F.sum("_n").over(inside_day), F.lit(0)).alias("_in_day"))
-    over_days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    day_offsets = (
-        sizes.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))
-        .select(*keys, "_day", F.coalesce(F.sum("_n").over(over_days), F.lit(0)).alias("_before_day"))
-    )
-    offsets = part_offsets.join(day_offsets, [*keys, "_day"]).select(
-        *by_part, (F.col("_in_day") + F.col("_before_day")).alias("_offset")
+    sorting = [*keys, order, *tie]
+    ranged = df.repartitionByRange(*sorting).sortWithinPartitions(*sorting)
+    # Number of the range above bit 33, number of the row inside it below: rows of a key are consecutive.
+    rows = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    runs = rows.groupBy(*keys, F.shiftright("_at", 33).alias("_range")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    within = Window.partitionBy(*by_part).orderBy(order, *tie)
-    return (
-        rows.withColumn("_within", F.row_number().over(within))
-        .join(offsets, by_part)
-        .withColumn("_row", F.col("_offset") + F.col("_within") - 1)
-        .drop("_day", "_part", "_within", "_offset")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    runs = materialize(
+        runs.select(
+            *[F.col(k).alias(f"_run_{k}") for k in keys], "_range",
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        )
     )
+    if runs.count() <= MOST_RUNS:
+        runs = F.broadcast(runs)
+    same = [F.col(k).eqNullSafe(F.col(f"_run_{k}")) for k in keys] + [F.shiftright("_at", 33) == F.col("_range")]
+    joined = rows.join(runs, reduce(and_, same))
+    return joined.withColumn("_row", F.col("_at") + F.col("_shift")).select(*df.columns, "_row")
 
 
 def _copies(df: DataFrame, position: Column, size: int, back: int, ahead: int) -> DataFrame:
@@ -79,10 +66,10 @@ def _copies(df: DataFrame, position: Column, size: int, back: int, ahead: int) -
 
 def row_blocks(
     df: DataFrame, keys: Sequence[str], order: str, back: int, ahead: int = 0,
-    block_rows: int = 100_000, bucket: str = "hour", tie: Sequence[str] = (),
+    block_rows: int = 100_000, tie: Sequence[str] = (),
 ) -> DataFrame:
     """Blocks for frames that count rows: ``back`` rows before and ``ahead`` rows after."""
-    numbered = with_row_number(df, keys, order, bucket, tie)
+    numbered = with_row_number(df, keys, order, tie)
     return _copies(numbered, F.col("_row"), block_rows, back, ahead).drop("_row")
 
 

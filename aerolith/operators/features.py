@@ -38,8 +38,8 @@ class SeriesSpec:
 
     ``lagged``: (name, source column); ``rolled``: (name, source column, statistics).
     ``min_periods``: values a window needs: "half" of it (at least one), "full", or a number.
-    ``bases``: windows that others are put together from.  A frame of w rows costs w steps
-    per row in Spark; 168 hours as 7 frames of 24 hours, already known on 7 rows, cost 7.
+    ``doubling``: put windows together from windows of 1, 2, 4, 8, ... rows.  A frame of w rows
+    costs w steps per row in Spark, for each statistic; doubling costs log2(w) for all of them.
     """
 
     unit: str
@@ -49,18 +49,13 @@ class SeriesSpec:
     windows: tuple[int, ...]
     min_periods: str | int = "half"
     rows_per_key: int | None = None
-    bases: tuple[int, ...] = ()
+    doubling: bool = False
     components_of: str | None = None  # direction column to split into wind_u / wind_v
     horizons: tuple[int, ...] = ()  # rows ahead, for targets
     target: str | None = None
     lag_pattern: str = "{name}_lag_{n}{unit}"
     roll_pattern: str = "{name}_rolling_{stat}_{n}{unit}"
 
-    def base_of(self, window: int) -> int | None:
-        """The largest base that fits into the window a whole number of times."""
-        fitting = [b for b in self.bases if b < window and window % b == 0 and b in self.windows]
-        return None if window in self.bases else max(fitting, default=None)
-
     @property
     def back(self) -> int:
         return max((*self.lags, *self.windows), default=0)
@@ -70,13 +65,12 @@ class SeriesSpec:
         return max(self.horizons, default=0)
 
 
-# Daily windows are short enough for frames of their own.
-_BASES = {"d": (), "h": (6, 24)}
-
-
 def _scalar_spec(name: str, column: str, unit: str, lags, windows) -> SeriesSpec:
     bound = DAILY_SERIES_ROWS if unit == "d" else HOURLY_SERIES_ROWS
-    return SeriesSpec(unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound, bases=_BASES[unit])
+    # Daily windows are short enough for frames of their own.
+    return SeriesSpec(
+        unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound, doubling=unit == "h"
+    )
 
 
 def _direction_spec(direction: str, spread: str, unit: str, lags, windows) -> SeriesSpec:
@@ -88,7 +82,7 @@ def _direction_spec(direction: str, spread: str, unit: str, lags, windows) -> Se
         (("wind_u", "wind_u", ("mean",)), ("wind_v", "wind_v", ("mean",)), ("direction_std", spread, ("mean",))),
         windows,
         rows_per_key=bound,
-        bases=_BASES[unit],
+        doubling=unit == "h",
         components_of=direction,
     )
 
@@ -114,7 +108,7 @@ SERIES = {
 
 TARGETS = SeriesSpec(
     "h", (("pm25", "pm25"),), C.TARGET_LAGS, (("pm25", "pm25", ("mean", "std")),), C.TARGET_WINDOWS,
-    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, bases=(24,), horizons=C.TARGET_HORIZONS, target="pm25",
+    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, doubling=True, horizons=C.TARGET_HORIZONS, target="pm25",
 )
 
 SENSOR_DAYS = SeriesSpec(
@@ -135,101 +129,112 @@ def _needed(spec: SeriesSpec, window: int) -> int:
     return window if spec.min_periods == "full" else int(spec.min_periods)
 
 
-def _state(source: str, base: int) -> str:
-    return f"_state_{source}_{base}"
-
-
 def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
-    """Add lags, rolling statistics and targets.
-
-    First everything that looks at single rows or short frames, with the states (count, sum,
-    squares, extremes) of the base windows; then the longer windows from those states.  The
-    second window operator finds the rows partitioned and sorted as it needs them.
-    """
-    first, composed, states = [], [], {}
+    """Add lags, rolling statistics and targets; the windows end at the row before the current one."""
+    columns = []
     for n in spec.lags:
         for name, source in spec.lagged:
-            alias = spec.lag_pattern.format(name=name, n=n, unit=spec.unit)
-            first.append(F.lag(source, n).over(ordered).alias(alias))
+            columns.append(F.lag(source, n).over(ordered).alias(spec.lag_pattern.format(name=name, n=n, unit=spec.unit)))
+    for n in spec.horizons:
+        columns.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
+    if spec.doubling:
+        return _doubled(df, spec, ordered, columns)
     for n in spec.windows:
-        base = spec.base_of(n)
         # The n rows before the current one; the current value never leaks into a feature.
         frame, needed = ordered.rowsBetween(-n, -1), _needed(spec, n)
         for name, source, stats in spec.rolled:
-            aliases = {s: spec.roll_pattern.format(name=name, stat=s, n=n, unit=spec.unit) for s in stats}
-            if base is not None:
-                composed.append((source, aliases, n, base, needed))
-                states.setdefault((source, base), set()).update(stats)
-                continue
             enough = F.count(source).over(frame) >= needed
-            first += [F.when(enough, _STATS[s](source).over(frame)).alias(alias) for s, alias in aliases.items()]
-    for n in spec.horizons:
-        first.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
-    for (source, base), stats in states.items():
-        frame = ordered.rowsBetween(-base, -1)
-        parts = [F.count(source).over(frame).alias("n"), F.sum(source).over(frame).alias("sum")]
-        if "std" in stats:
-            parts.append((F.var_pop(source).over(frame) * F.count(source).over(frame)).alias("sq"))
-        parts += [_STATS[s](source).over(frame).alias(s) for s in ("min", "max") if s in stats]
-        first.append(F.struct(*parts).alias(_state(source, base)))
-    out = df.select("*", *first)
-    return _compose(out, df.columns, spec, composed, ordered) if composed else out
-
-
-def _compose(out: DataFrame, inputs: list[str], spec: SeriesSpec, composed, ordered) -> DataFrame:
-    """Windows of several base windows each, from one array of base states per row.
-
-    The states of a window are merged by ``aggregate`` over the array, so the size of the
-    generated code doesn't depend on the windows' lengths.
-    """
-    pieces: dict[tuple[str, int], int] = {}
-    for source, _, n, base, _ in composed:
-        pieces[source, base] = max(pieces.get((source, base), 0), n // base)
-    arrays = {}
-    for (source, base), count in pieces.items():
-        state = _state(source, base)
-        shifted = [F.lag(state, k * base).over(ordered) for k in range(1, count)]
-        arrays[source, base] = f"{state}_all"
-        out = out.withColumn(arrays[source, base], F.array(state, *shifted))
-
-    def merged(states: Column, part, kind: str = "double") -> Column:
-        return F.aggregate(states, F.lit(0).cast(kind), lambda total, s: total + F.coalesce(part(s), F.lit(0).cast(kind)))
-
-    sums = []
-    for i, (source, _, n, base, _) in enumerate(composed):
-        states = F.slice(arrays[source, base], 1, n // base)
-        sums += [merged(states, lambda s: s["n"], "bigint").alias(f"_n_{i}"), merged(states, lambda s: s["sum"]).alias(f"_sum_{i}")]
-    out = out.select("*", *sums)
+            for stat in stats:
+                alias = spec.roll_pattern.format(name=name, stat=stat, n=n, unit=spec.unit)
+                columns.append(F.when(enough, _STATS[stat](source).over(frame)).alias(alias))
+    return df.select("*", *columns)
+
+
+# --- windows by doubling ------------------------------------------------------------------
+#
+# The state of a window: how many values it has, their sum, the sum of their squared distances
+# from their mean, and their extremes.  Two neighbouring windows of 2^k rows make one of 2^(k+1),
+# with a single lag.  A window of w rows is then one state for each binary digit of w; for the
+# extremes, which don't mind counting a row twice, two overlapping ones.  Nothing is subtracted,
+# so nothing cancels out, whatever the length of the series.
+
+
+def _table(source: str, level: int) -> str:
+    return f"_rolled_{source}_{level}"
+
+
+def _merged(early: Column, late: Column, fields: Sequence[str]) -> Column:
+    """The state of two neighbouring windows; the earlier one is NULL before the first row."""
+    zero, none = F.lit(0.0), F.lit(0).cast("bigint")
+    n_early, n_late = F.coalesce(early["n"], none), late["n"]
+    parts = {"n": n_early + n_late, "sum": F.coalesce(early["sum"], zero) + late["sum"]}
+    if "sq" in fields:
+        gap = early["sum"] / n_early - late["sum"] / n_late
+        apart = F.when((n_early > 0) & (n_late > 0), gap * gap * n_early * n_late / (n_early + n_late)).otherwise(zero)
+        parts["sq"] = F.coalesce(early["sq"], zero) + late["sq"] + apart
+    if "min" in fields:
+        parts["min"] = F.least(early["min"], late["min"])
+    if "max" in fields:
+        parts["max"] = F.greatest(early["max"], late["max"])
+    return F.struct(*[value.alias(name) for name, value in parts.items()])
+
+
+def _pieces(window: int) -> list[tuple[int, int]]:
+    """(level, offset) of states that make up a window without overlap: powers of two, the latest rows first."""
+    out, offset = [], 1
+    for level in reversed(range(window.bit_length())):
+        if window >> level & 1:
+            out.append((level, offset))
+            offset += 1 << level
+    return out
+
+
+def _doubled(df: DataFrame, spec: SeriesSpec, ordered, others: list[Column]) -> DataFrame:
+    """``others`` and the rolling statistics; the tables of states are built on the input's columns alone."""
+    fields: dict[str, list[str]] = {}
+    for _, source, stats in spec.rolled:
+        known = set(fields.get(source, ())) | {"sq" if s == "std" else s for s in stats if s != "mean"}
+        fields[source] = [f for f in ("sq", "min", "max") if f in known]
+    out = df
+    for source, extra in fields.items():
+        value = F.col(source)
+        single = [value.isNotNull().cast("bigint").alias("n"), F.coalesce(value.cast("double"), F.lit(0.0)).alias("sum")]
+        single += [(F.lit(0.0) if f == "sq" else value).alias(f) for f in extra]
+        out = out.withColumn(_table(source, 0), F.struct(*single))
+    for level in range(max(spec.windows, default=1).bit_length() - 1):
+        out = out.select("*", *[F.lag(_table(s, level), 1 << level).over(ordered).alias(f"_early_{s}") for s in fields])
+        out = out.withColumns(
+            {_table(s, level + 1): _merged(F.col(f"_early_{s}"), F.col(_table(s, level)), f) for s, f in fields.items()}
+        ).drop(*[f"_early_{s}" for s in fields])
+
+    lagged: dict[tuple[str, int, int], str] = {}
+
+    def state(source: str, level: int, offset: int) -> Column:
+        return F.col(lagged.setdefault((source, level, offset), f"_piece_{source}_{level}_{offset}"))
 
     results: dict[str, Column] = {}
-    for i, (source, aliases, n, base, needed) in enumerate(composed):
-        states, total = F.slice(arrays[source, base], 1, n // base), F.col(f"_n_{i}")
-        mean = F.when(total > 0, F.col(f"_sum_{i}") / total)
-        for stat, alias in aliases.items():
-            if stat == "mean":
-                value, least = mean, needed
-            elif stat == "std":
-                # Spread inside the pieces plus spread of their means: nothing cancels out.
-                spread = merged(states, _spread_about(mean))
-                value, least = F.sqrt(spread / F.when(total > 1, total - 1)), needed
-            else:
-                extreme = F.array_min if stat == "min" else F.array_max
-                value, least = extreme(F.transform(states, _part(stat))), needed
-            results[alias] = F.when(total >= least, value)
-    names = [*inputs, *_feature_names(spec)]
-    return out.select(*[results[c].alias(c) if c in results else F.col(c) for c in names])
-
-
-def _part(name: str):
-    return lambda state: state[name]
-
-
-def _spread_about(mean: Column):
-    def spread(state: Column) -> Column:
-        gap = state["sum"] / state["n"] - mean
-        return F.when(state["n"] > 0, state["sq"] + state["n"] * gap * gap)
-
-    return spread
+    for n in spec.windows:
+        top = n.bit_length() - 1
+        for name, source, stats in spec.rolled:
+            parts = [state(source, *piece) for piece in _pieces(n)]
+            total = sum((F.coalesce(p["n"], F.lit(0).cast("bigint")) for p in parts[1:]), F.coalesce(parts[0]["n"], F.lit(0).cast("bigint")))
+            whole = sum((F.coalesce(p["sum"], F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0]["sum"], F.lit(0.0)))
+            for stat in stats:
+                if stat == "mean":
+                    value = whole / total
+                elif stat == "std":
+                    mean = whole / total
+                    spread = [F.when(p["n"] > 0, p["sq"] + p["n"] * F.pow(p["sum"] / p["n"] - mean, F.lit(2.0))) for p in parts]
+                    square = sum((F.coalesce(s, F.lit(0.0)) for s in spread[1:]), F.coalesce(spread[0], F.lit(0.0)))
+                    value = F.when(total > 1, F.sqrt(square / (total - 1)))
+                else:
+                    ends = [state(source, top, 1)[stat], state(source, top, 1 + n - (1 << top))[stat]]
+                    value = (F.least if stat == "min" else F.greatest)(*ends)
+                alias = spec.roll_pattern.format(name=name, stat=stat, n=n, unit=spec.unit)
+                results[alias] = F.when(total >= max(1, _needed(spec, n)), value)
+    shifted = [F.lag(_table(s, level), offset).over(ordered).alias(alias) for (s, level, offset), alias in lagged.items()]
+    out = out.select(*df.columns, *others, *shifted)
+    return out.select(*df.columns, *[results[c].alias(c) if c in results else F.col(c) for c in _feature_names(spec)])
 
 
 def _feature_names(spec: SeriesSpec) -> list[str]:
@@ -242,7 +247,7 @@ def _feature_names(spec: SeriesSpec) -> list[str]:
 
 def series_features(
     df: DataFrame, spec: SeriesSpec, keys: Sequence[str] = ("region",), order: str = "timestamp",
-    complete: bool = True, block_rows: int | None = None, bucket: str = "hour", tie: Sequence[str] = (),
+    complete: bool = True, block_rows: int | None = None, tie: Sequence[str] = (),
     optional: Sequence[str] = (),
 ) -> DataFrame:
     """Add the spec's features per key; with ``complete``, keep complete rows only.
@@ -260,7 +265,7 @@ def series_features(
         ordered = Window.partitionBy(*keys).orderBy(order, *tie)
         out = _rolling(out, spec, ordered)
     else:
-        cut = row_blocks(out, keys, order, spec.back, spec.ahead, block_rows or 100_000, bucket, tie)
+        cut = row_blocks(out, keys, order, spec.back, spec.ahead, block_rows or 100_000, tie)
         ordered = Window.partitionBy(*keys, BLOCK).orderBy(order, *tie)
         out = own_rows(_rolling(cut, spec, ordered))
     return complete_cases(out, optional) if complete else out

@@ -148,7 +148,7 @@ _READINGS = replace(
 def features_blocked_readings(spark, sf_dir):
     r = a.readings(spark, sf_dir).select("event_type", "timestamp", "event_id", "wind_speed")
     return a.rounded(
-        f.series_features(r, _READINGS, ("event_type",), block_rows=1_000, bucket="second", tie=("event_id",))
+        f.series_features(r, _READINGS, ("event_type",), block_rows=1_000, tie=("event_id",))
     )
 
 

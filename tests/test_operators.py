@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolith.operators import features as f
@@ -69,7 +70,7 @@ def test_blocks_equal_plain_windows(spark, block_rows):
     df = series(spark, n=40)
     spec = replace(f.SERIES["pm25_daily"], lags=(1, 3, 28), windows=(3, 14), horizons=(24, 48), target="pm25")
     plain = f.series_features(df, spec, complete=False)
-    cut = f.series_features(df, spec, complete=False, block_rows=block_rows, bucket="day")
+    cut = f.series_features(df, spec, complete=False, block_rows=block_rows)
     assert_same(plain, cut, "region", "timestamp")
 
 
@@ -86,24 +87,63 @@ def test_one_exchange_for_all_features(spark):
     assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
 
 
-def test_composed_windows_with_missing_values(spark):
-    df = series(spark, n=60).withColumn("pm25", F.when(F.rand(3) > 0.2, F.col("pm25")))
-    df = spark.createDataFrame(df.toPandas(), df.schema)
-    spec = replace(f.SERIES["pm25_daily"], bases=(3, 7))
-    assert spec.base_of(28) == 7 and spec.base_of(3) is None and spec.base_of(7) is None
-    assert_same(
-        f.series_features(df, spec, complete=False), f.series_features(df, replace(spec, bases=()), complete=False),
-        "region", "timestamp",
-    )
+@pytest.mark.parametrize("windows", [(1, 2, 3), (6, 12, 24, 31), (7, 28, 64)])
+def test_doubled_windows_equal_frames(spark, windows):
+    df = series(spark, n=90).withColumn("pm25", F.when(F.rand(3) > 0.2, F.col("pm25")))
+    df = spark.createDataFrame(df.toPandas(), df.schema).withColumn("pm25", F.when(~F.isnan("pm25"), F.col("pm25")))
+    for needed in ("half", "full", 1):
+        spec = replace(f.SERIES["pm25_daily"], windows=windows, min_periods=needed, horizons=(24,), target="pm25")
+        doubled = replace(spec, doubling=True)
+        assert_same(
+            f.series_features(df, spec, complete=False), f.series_features(df, doubled, complete=False), "region", "timestamp"
+        )
+        blocks = f.series_features(df, doubled, complete=False, block_rows=13)
+        assert_same(f.series_features(df, spec, complete=False), blocks, "region", "timestamp")
+
+
+def test_doubled_windows_of_a_constant_far_from_zero_have_no_spread(spark):
+    rows = [("a", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), 1e9 + 0.1) for h in range(300)]
+    df = spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, pm25 double")
+    out = f.series_features(df, f.SERIES["pm25_hourly"], complete=False).agg(F.max("pm25_rolling_std_168h"), F.min("pm25_rolling_mean_72h"))
+    assert tuple(out.first()) == (pytest.approx(0, abs=1e-6), pytest.approx(1e9 + 0.1, abs=1e-6))
+
+
+def test_doubling_shares_one_exchange_and_one_sort(spark):
+    executed = f.table_features(f.add_calendar(series(spark, n=30), True), "pm25_hourly")._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
+    assert "168 preceding" not in executed.lower() and executed.count("Window [lag") == 8
 
 
 def test_row_numbers(spark):
     df = series(spark, n=50, step=dt.timedelta(minutes=7))
-    got = with_row_number(df, ["region"], "timestamp", bucket="minute").toPandas()
+    got = with_row_number(df, ["region"], "timestamp").toPandas()
     for _, g in got.groupby("region"):
         assert list(g.sort_values("timestamp")["_row"]) == list(range(len(g)))
 
 
+def test_row_numbers_of_a_hot_key_null_keys_and_none(spark):
+    """One key with nearly all rows fills several ranges; nulls are a key like any other."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 50 != 0, "hot").when(F.col("id") % 100 != 0, "cold").alias("region"),
+        F.timestamp_seconds(F.col("id") * 37 % 20_011).alias("timestamp"),
+    )
+    got = with_row_number(df, ["region"], "timestamp")
+    assert got.columns == ["region", "timestamp", "_row"] and got.count() == 20_000
+    want = df.withColumn("_want", F.row_number().over(Window.partitionBy("region").orderBy("timestamp")) - 1)
+    same = got.join(want, F.col("_row") == F.col("_want"))
+    same = same.where(got.region.eqNullSafe(want.region) & (got.timestamp == want.timestamp))
+    assert same.count() == 20_000
+    assert with_row_number(df.limit(0), ["region"], "timestamp").count() == 0
+
+
+def test_blocks_read_once_and_exchange_twice(spark):
+    """After the one exchange by ranges, which is written, only the blocks are dealt anew."""
+    spec = replace(f.SERIES["pm25_hourly"], rows_per_key=None)
+    executed = f.series_features(series(spark, n=40), spec, block_rows=50)._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Exchange rangepartitioning") == 0
+    assert executed.count("FileScan") == 2 and "BroadcastHashJoin" in executed  # the numbered rows, and the ranges' offsets
+
+
 def test_rolling_guard(spark):
     spec = replace(f.SERIES["pm25_daily"], lags=(), windows=(7,), rolled=(("pm25", "pm25", ("mean",)),))
     df = series(spark, keys=1, n=1, gaps=False).orderBy("timestamp")
@@ -207,7 +247,7 @@ def test_group_function(spark):
 
 
 def test_hourly_features_compile(spark, capfd):
-    """Generated code of the composed windows stays below the compiler's limits."""
+    """Generated code of the doubled windows stays below the compiler's limits."""
     t0 = dt.datetime(2024, 1, 1)
     rows = [("a", t0 + dt.timedelta(hours=h), float(h % 31)) for h in range(400)]
     df = spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, pm25 double")
