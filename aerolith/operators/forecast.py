@@ -136,19 +136,20 @@ def by_region(scorers: Mapping[str, Scorer], key: str = "region") -> Scorer:
 
 
 def forecast_regions(
-    state: DataFrame, scorers: Mapping[str, Scorer], days: int = 7, shortened: bool = False, value: str = "pm25"
+    state: DataFrame, scorers: Scorer | Mapping[str, Scorer], days: int = 7, shortened: bool = False, value: str = "pm25"
 ) -> DataFrame:
-    """Forecasts of all regions, each by its own model.
+    """Forecasts of all regions, each by its own model: one scorer that knows them all, or one for each region.
 
     Every step scores all regions in one job and stores the state, one row per region:
     planning a week for each of several models in one piece takes longer than running it.
     """
-    scorer = by_region(scorers)
+    each = isinstance(scorers, Mapping)
+    scorer = by_region(scorers) if each else scorers
     current = materialize(state.withColumn("_steps", _empty_steps(state)))
     for k in range(1, days + 1):
         stepped = _step(current, k, scorer, ["region"], shortened, value)
         # Gather again: a union of filtered copies has as many partitions as all copies together.
-        current = materialize(stepped.repartition("region"))
+        current = materialize(stepped.repartition("region") if each else stepped)
     return current.select("region", F.inline("_steps")).filter(F.col("timestamp").isNotNull())
 
 

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.operators.clean import align_features, complete_cases, numeric_columns
 from aerolith.operators.metrics import regression_metrics
-from aerolith.session import checkpoint_dir
+from aerolith.session import checkpoint_dir, materialize
 
 PREDICTION = "predicted_pm25"
 
+#: Rows of a training partition; a region of some hundred days is one, so that a round's jobs are of one task.
+ROWS_PER_PARTITION = 50_000
+#: Names of a feature's copies end in these: as it is, or with missing values below its least, above its largest one.
+_AS_IS, _LOW, _HIGH = "__filled", "__low", "__high"
+
 
 @dataclass(frozen=True)
 class TreeParams:
@@ -43,14 +51,52 @@ def model_features(df: DataFrame, label: str = "pm25") -> list[str]:
     return numeric_columns(df, exclude=[label])
 
 
+@dataclass(frozen=True)
+class Copy:
+    """A column that the trees see: a feature with its missing values filled."""
+
+    name: str
+    feature: str
+    fill: float
+
+
+def feature_copies(rows: DataFrame, features: Sequence[str]) -> list[Copy]:
+    """The columns for the trees.  A feature that lacks values in ``rows`` gets two copies, one with missing values
+    below all others and one above, so that a split can send them to either side.  Others are filled by their mean
+    where a later row lacks them.  NaN counts as missing."""
+    checks = []
+    for i, c in enumerate(features):
+        value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        checks += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"), F.avg(value).alias(f"m{i}")]
+    seen = rows.agg(F.count(F.lit(1)).alias("rows"), *checks).first()
+    out = []
+    for i, c in enumerate(features):
+        low, high, mean = (float("nan") if seen[f"{s}{i}"] is None else seen[f"{s}{i}"] for s in ("lo", "hi", "m"))
+        if seen[f"n{i}"] == seen["rows"] or not math.isfinite(high - low):
+            out.append(Copy(f"{c}{_AS_IS}", c, float(mean) if math.isfinite(mean) else 0.0))
+        else:
+            step = max(1.0, high - low)
+            out += [Copy(f"{c}{_LOW}", c, float(low - step)), Copy(f"{c}{_HIGH}", c, float(high + step))]
+    return out
+
+
+def _filling(copies: Sequence[Copy]) -> SQLTransformer:
+    """A stage that adds the copies; its statement is stored with the model."""
+    columns = [
+        f"coalesce(nanvl(CAST(`{c.feature}` AS DOUBLE), CAST(NULL AS DOUBLE)), {c.fill!r}D) AS `{c.name}`" for c in copies
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
 def fit(train: DataFrame, features: Sequence[str], label: str = "pm25", params: TreeParams = TreeParams()) -> PipelineModel:
-    """Impute, assemble, boost.  Fitting is distributed over the rows of ``train``."""
+    """Fill, assemble, boost.  Fitting is distributed over the rows of ``train``."""
     checkpoint_dir(train.sparkSession)  # long boosting runs cut their lineage there
-    filled = [f"{c}__filled" for c in features]
+    rows = materialize(align_features(train, features, keep=[F.col(label).cast("double").alias(label)]))
+    copies = feature_copies(rows, features)
     pipeline = Pipeline(
         stages=[
-            Imputer(strategy="mean", inputCols=list(features), outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep"),
+            _filling(copies),
+            VectorAssembler(inputCols=[c.name for c in copies], outputCol="features", handleInvalid="keep"),
             GBTRegressor(
                 featuresCol="features", labelCol=label, predictionCol=PREDICTION,
                 maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=params.max_depth,
@@ -59,16 +105,23 @@ def fit(train: DataFrame, features: Sequence[str], label: str = "pm25", params:
             ),
         ]
     )
-    rows = align_features(train, features, keep=[F.col(label).cast("double").alias(label)])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.coalesce(-(-rows.count() // ROWS_PER_PARTITION) or 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(rows)
     finally:
         rows.unpersist()
 
 
+def copies_of(model: PipelineModel) -> list[Copy]:
+    """The columns that a model's trees see, in the order of their numbers."""
+    found = re.findall(r", (-?[0-9.e+-]+)D\) AS `([^`]*)`", model.stages[0].getStatement())
+    fills = {name: float(fill) for fill, name in found}
+    names = list(model.stages[1].getInputCols())
+    return [Copy(n, n.removesuffix(_AS_IS).removesuffix(_LOW).removesuffix(_HIGH), fills[n]) for n in names]
+
+
 def features_of(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
+    return list(dict.fromkeys(c.feature for c in copies_of(model)))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -82,32 +135,52 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def fit_regions(
-    view: DataFrame, regions: Sequence[str], test_start, params: TreeParams = TreeParams(), label: str = "pm25"
+    view: DataFrame, regions: Sequence[str], test_start, params: TreeParams = TreeParams(), label: str = "pm25",
+    at_once: int = 5,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """One model per region and the scored test rows of all regions.
 
-    The few regions are fitted one after another, each on the whole cluster; filtering on
-    the partition column means each fit reads its own region's files only.
+    ``view`` is written by region first, so that each fit reads its own region's files.  ``at_once`` fits run side
+    by side: a round of boosting is a few short jobs, and a single fit leaves most of a cluster idle between them.
     """
     features = model_features(view, label)
-    models, tests = {}, None
-    for region in regions:
-        train, test = split_by_time(view.filter(F.col("region") == region), test_start)
-        models[region] = fit(train, features, label, params)
-        scored = score(models[region], test)
+    stored = materialize(view.filter(F.col("region").isin(list(regions))), by=["region"])
+
+    def one(region: str) -> PipelineModel:
+        train, _ = split_by_time(stored.filter(F.col("region") == region), test_start)
+        return fit(train, features, label, params)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(regions)))) as pool:
+        # A target of its own for each task: it carries the session's properties into the thread.
+        fitted = list(pool.map(lambda region: inheritable_thread_target(view.sparkSession)(one)(region), regions))
+    models, tests = dict(zip(regions, fitted, strict=True)), None
+    for region, model in models.items():
+        _, test = split_by_time(stored.filter(F.col("region") == region), test_start)
+        scored = score(model, test)
         tests = scored if tests is None else tests.unionByName(scored)
     return models, tests
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession, top: int = 15) -> DataFrame:
     """The most useful features by impurity gain (one row per feature, at most ``top``)."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    rows = list(zip(features_of(model), weights))
+    weights = dict.fromkeys(features_of(model), 0.0)
+    for copy, weight in zip(copies_of(model), model.stages[-1].featureImportances.toArray().tolist()):
+        weights[copy.feature] += weight
+    rows = list(weights.items())
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc(), "feature"
     ).limit(top)
 
 
+def described_splits(model: PipelineModel) -> dict[str, int]:
+    """How often the trees split on each feature, by the model's own description."""
+    copies, counts = copies_of(model), {}
+    for position in re.findall(r"If \(feature (\d+) ", model.stages[-1].toDebugString):
+        feature = copies[int(position)].feature
+        counts[feature] = counts.get(feature, 0) + 1
+    return counts
+
+
 def _model_path(root: str, region: str, version: int) -> str:
     return f"{root.rstrip('/')}/models/pm25_trees_{region}/v={version}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.constants import REGIONS
-from aerolith.operators.forecast import forecast_regions, forecast_state
+from aerolith.operators.forecast import Scorer, forecast_regions, forecast_state
 from aerolith.operators.joins import future_weather, hindcast, join_series_with_suffixes, last_rows
 from aerolith.operators.metrics import regression_metrics
-from aerolith.operators.model import PREDICTION, load_model, score
+from aerolith.operators.model import PREDICTION, score
+from aerolith.operators.trees import load_tables, tree_scorer
 from aerolith.schemas import FEATURE_TABLES
 from aerolith.session import materialize
 from aerolith.sinks.tables import upsert
@@ -21,17 +22,20 @@ from aerolith.sources.tables import daily_tables, read_table
 
 
 def weekly_forecast(
-    spark: SparkSession, root: str, as_of, models: Mapping[str, PipelineModel | Callable[[DataFrame], DataFrame]],
-    days: int = 7, version: int | None = None, shortened: bool = False,
+    spark: SparkSession, root: str, as_of, models: Scorer | Mapping[str, PipelineModel | Scorer],
+    days: int = 7, version: int | None = None, shortened: bool = False, regions: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Forecasts of all regions from ``as_of`` on, by each region's own model or scorer."""
-    regions = list(models)
+    """Forecasts of all regions from ``as_of`` on, by each region's own model or scorer, or by a scorer for all."""
+    if isinstance(models, Mapping):
+        regions = list(models)
+        scorers = {region: model if callable(model) else partial(score, model) for region, model in models.items()}
+    else:
+        scorers = models
     tables = daily_tables(spark, root, version, regions=regions)
     weather = future_weather(
         tables["wind_direction_daily"], tables["wind_speed_daily"], tables["air_temperature_daily"], as_of, days
     ).drop("days_before_forecast_day")
     state = forecast_state(tables["pm25_daily"], weather, as_of, days)
-    scorers = {region: model if callable(model) else partial(score, model) for region, model in models.items()}
     return forecast_regions(state, scorers, days, shortened)
 
 
@@ -39,9 +43,10 @@ def predict_and_store(
     spark: SparkSession, root: str, as_of, regions: Sequence[str] = REGIONS, days: int = 7,
     version: int | None = None, model_version: int = 1, shortened: bool = False,
 ) -> DataFrame:
-    """Load the models, forecast, upsert the predictions; returns them."""
-    models = {region: load_model(root, region, model_version) for region in regions}
-    return store_forecast(spark, weekly_forecast(spark, root, as_of, models, days, version, shortened), root)
+    """Read the stored models as tables, forecast, upsert the predictions; returns them."""
+    scorer = tree_scorer(*load_tables(spark, root, regions, model_version))
+    forecast = weekly_forecast(spark, root, as_of, scorer, days, version, shortened, regions)
+    return store_forecast(spark, forecast, root)
 
 
 def store_forecast(spark: SparkSession, forecast: DataFrame, root: str) -> DataFrame:

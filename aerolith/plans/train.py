@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aerolith.constants import REGIONS
 from aerolith.operators.joins import feature_view
 from aerolith.operators.model import TreeParams, evaluate, fit_regions, save_model
+from aerolith.operators.trees import store_tables
 from aerolith.session import materialize
 from aerolith.sources.tables import daily_tables
 
@@ -30,4 +31,5 @@ def train_regions(
     metrics = materialize(evaluate(scored))
     for region, model in models.items():
         save_model(model, metrics.filter(F.col("region") == region).drop("region"), region, root, model_version, params)
+        store_tables(model, region, root, model_version)
     return metrics

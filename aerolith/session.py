@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +53,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/aerolith/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once, reliably, when several branches of a plan read it.
 
     Used for rolled-up series, which are far smaller than the readings behind them.  The
     table lies in the shared folder, so a lost executor costs nothing but a re-read, and
-    filters and column choices of later readers reach its scan.
+    filters and column choices of later readers reach its scan.  ``by``: columns with few values
+    whose rows go to folders of their own; a filter on them reads only these.
     """
     path = work_path(df.sparkSession, "stored")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.repartition(*by).write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
