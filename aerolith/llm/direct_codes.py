@@ -21,10 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import new_path
+from aerolith.llm.common import new_path, stored
 from aerolith.llm.tokens import VOCABULARY, encoder
 
 _BLOCK = 512
+#: Of so many segments, 20 bytes each, the starts are broadcast; with more, of a trillion ids, they are joined by shuffle.
+_MOST_STARTS = 1 << 20
+#: Bytes of text that a task encodes, about.
+_PART_BYTES = 1 << 25
 SEGMENT = (
     "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<long>, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
@@ -93,7 +97,8 @@ def write(
 ) -> None:
     """Encode every whole ``text``, append ``end_id`` and write the segments to the folder ``path``.
 
-    Texts are dealt by ranges of doc_id; each task encodes its range in order and holds one segment.
+    Texts are dealt by ranges of doc_id, as many as their bytes need; each task encodes its range in order and
+    holds one segment.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -113,12 +118,22 @@ def write(
 
     order = ["doc_id", "_tie"]
     rows = docs.select("doc_id", "text").withColumn("_tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.repartitionByRange(-(-size // _PART_BYTES) or 1, *order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(segments, SEGMENT).write.parquet(path)
 
 
+def _shared(starts: DataFrame) -> DataFrame:
+    """The segments' starts, broadcast if they are few: then no file is shuffled for the sake of one number."""
+    starts = stored(starts, "segment-starts")
+    return F.broadcast(starts) if starts.count() <= _MOST_STARTS else starts
+
+
 def segment_starts(spark: SparkSession, path: str) -> DataFrame:
-    """part, segment, start: how many ids stand before each segment, from the segments' sizes alone."""
+    """part, segment, start: how many ids stand before each segment, from the segments' sizes alone.
+
+    The parts' sums, one row a file, are the only rows that are ordered in one task.
+    """
     sizes = spark.read.schema(SEGMENT).parquet(path).select("part", "segment", "n_ids")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -149,7 +164,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    rows = spark.read.schema(SEGMENT).parquet(path).join(segment_starts(spark, path), ["part", "segment"])
+    rows = spark.read.schema(SEGMENT).parquet(path).join(_shared(segment_starts(spark, path)), ["part", "segment"])
     rows = rows.select("doc_ids", "doc_tokens", "levels", "bitmaps", "start")
     return rows.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
 
@@ -168,7 +183,7 @@ def lookup(spark: SparkSession, path: str, positions: DataFrame, bucket: int = 1
                 [batch.column(0), pa.array(found, pa.int64())], ["position", "id"]
             )
 
-    segments = spark.read.schema(SEGMENT).parquet(path).join(segment_starts(spark, path), ["part", "segment"])
+    segments = spark.read.schema(SEGMENT).parquet(path).join(_shared(segment_starts(spark, path)), ["part", "segment"])
     touched = F.sequence(F.floor(F.col("start") / bucket), F.floor((F.col("start") + F.col("n_ids") - 1) / bucket))
     segments = segments.withColumn("_bucket", F.explode(touched))
     wanted = positions.select(F.col("position").cast("long")).withColumn("_bucket", F.floor(F.col("position") / bucket))

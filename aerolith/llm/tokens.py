@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public byte-level vocabulary, fast for repeated words.
 
 The vocabulary's splitting rule never lets a token cross a space that stands before a
-character other than white space.  Such spaces are therefore exact cut points: the words
-between them are encoded by the tokenizers library once per worker and looked up after.
+character other than white space, nor a single line end between two such characters.  These
+are therefore exact cut points: the words between them are encoded by the tokenizers library
+once per worker and looked up after.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _BLANK = "\\s\u180e"
 _BLANK_FIRST = re.compile(f"[{_BLANK}]")
 _CUT = re.compile(f" (?=[^{_BLANK}])")
-#: Latin letters and at most one mark behind them: the splitting rule cuts exactly between the two groups.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Latin letters and marks but apostrophes behind them, after a line end perhaps: the splitting rule cuts exactly
+#: between these groups.
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_MOST_MARKS = 10_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,7 +42,7 @@ class _Irregular(Exception):
 
 
 class _Words(dict):
-    """Word -> ids of the word with a space before it; encodes unknown words.
+    """Word -> ids of the word with a space before it, or without one if it begins with a line end; encodes unknown words.
 
     Keeps at most ``most`` words of at most ``longest`` characters.  When it is full nothing
     more is kept: common words come early.
@@ -49,17 +52,28 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.most, self.longest = tokenizer, most, longest
         self.model, self.letters = tokenizer.model, byte_letters()
-        self.marks = {"": b"", **{mark: ids_of(tokenizer, mark) for mark in ".,"}}
+        self.line = ids_of(tokenizer, "\n")
+        self.marks = {"": b""}
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = ids_of(self.tokenizer, marks)
+            if len(self.marks) < _MOST_MARKS:
+                self.marks[marks] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
         if plain := _PLAIN.fullmatch(word):  # already split: straight to the library's merges
-            name = "".join(map(self.letters.__getitem__, f" {plain[1]}".encode()))
+            line, letters, marks = plain.groups()
+            name = "".join(map(self.letters.__getitem__, (letters if line else f" {letters}").encode()))
             found = [token.id for token in self.model.tokenize(name)]
-            ids = struct.pack(f"<{len(found)}I", *found) + self.marks[plain[2]]
-        elif not word or _BLANK_FIRST.match(word):
-            raise _Irregular
+            ids = (self.line if line else b"") + struct.pack(f"<{len(found)}I", *found) + self._marks(marks)
         else:
-            ids = ids_of(self.tokenizer, f" {word}")
+            inner = word[1:] if word[:1] == "\n" else word
+            if not inner or _BLANK_FIRST.match(inner):
+                raise _Irregular
+            ids = ids_of(self.tokenizer, word if word[0] == "\n" else f" {word}")
         if len(self) < self.most and len(word) <= self.longest:
             self[word] = ids
         return ids
@@ -82,7 +96,7 @@ class WordEncoder:
     def _slice(self, text: str, led: bool) -> bytes:
         """``led``: a space that isn't in ``text`` stands before it."""
         try:
-            return self._parts(text.split(" "), led)
+            return self._parts(text.replace("\n", " \n").split(" "), led)
         except _Irregular:
             return self._parts(_CUT.split(text), led)
 
