@@ -7,15 +7,17 @@ There candidates are scanned in blocks of columns; after each block those whose
 beyond the best distances so far by more than the test allows are given up.  Survivors get the
 exact cosine of the original vectors in double precision.
 
-Hot lists are cut into chunks of bounded size by a hash of the id, and each chunk is scanned for
-the queries that probe the list, so no group holds more than a chunk.  Before the scan each query
-takes the distance of the k-th nearest id of the sample as a bound, which is correct for all lists.
-Results come from the lists alone, whatever the size of the table.
+Queries come in blocks of bounded size, which are sent to the tasks; the lists stay where they are,
+dealt by ranges of (list, id), so that a hot list is work for several tasks.  A task scans its rows in
+chunks and hands on k rows a query.  Before the scan each query takes the distance of the k-th nearest
+id of the sample within the lists that it probes as a bound; without k of them there it has none.  A
+query that ends with fewer than k ids, as the test gave up too many or its lists hold too few, scans all
+lists again without giving up any, so that min(k, candidates) are found always.
 
 Vectors that are null, zero, or hold null or non-finite numbers take no part, nor do those whose
-number of dimensions isn't the most frequent one.  Ties go to the smaller id; of repeated ids the
-nearest counts.  Only the id and
-the vector are read.  Without queries or candidates there is no row.
+number of dimensions isn't the candidates' most frequent one.  Ties go to the smaller id; of repeated
+ids the nearest counts, of queries of one id all vectors.  Only the id and the vector are read.
+Without queries or candidates there is no row.
 """
 
 from __future__ import annotations
@@ -24,12 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import stored
+from aerolith.llm.common import new_path, stored
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -53,15 +54,19 @@ class Index:
         """The nearest ``probes`` centroids of each row, nearest first."""
         return np.argsort(-(rotated @ self.centroids.T), axis=1, kind="stable")[:, :probes]
 
-    def bounds(self, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
-        """Squared distance of each row of ``x`` to its ``k``-th nearest other id of the sample; infinite if there are fewer.
+    def bounds(self, ids: np.ndarray, x: np.ndarray, lists: np.ndarray, k: int) -> np.ndarray:
+        """Squared distance of each row of ``x`` to its ``k``-th nearest other id of the sample within its ``lists``.
 
-        Repeated ids count once, with their nearest vector.
+        Infinite if there are fewer.  Repeated ids count once, with their nearest vector there.
         """
         own, starts = np.unique(self.sample_ids, return_index=True)  # the sample is sorted by id
         if len(own) < k:
             return np.full(len(ids), np.inf)
-        near = np.maximum.reduceat(self.rotated(x) @ self.sample.T, starts, axis=1)
+        probed = np.zeros((len(ids), len(self.centroids)), bool)
+        np.put_along_axis(probed, lists, True, axis=1)
+        near = self.rotated(x) @ self.sample.T
+        near[~probed[:, self.lists(self.sample, 1)[:, 0]]] = -np.inf
+        near = np.maximum.reduceat(near, starts, axis=1)
         near[ids[:, None] == own[None]] = -np.inf
         kth = np.partition(near, len(own) - k, axis=1)[:, len(own) - k]
         return 2 - 2 * kth.astype(np.float64) + 1e-5  # a little more, for single precision
@@ -71,14 +76,28 @@ def cosines(x: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (x * query).sum(axis=1) / (np.linalg.norm(x, axis=1) * np.linalg.norm(query))
 
 
-def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """id, v (array of double) of the rows that take part."""
+def _even(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, which changes no direction and no digit, so that squares neither overflow nor vanish."""
+    largest = abs(x).max(axis=1, initial=0)
+    if not len(x) or (1e-100 < largest.min() and largest.max() < 1e100):
+        return x
+    return np.ldexp(x, -np.frexp(largest)[1][:, None])
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return _even(np.array(column.to_pylist(), np.float64).reshape(len(column), -1))
+
+
+def usable(rows: DataFrame, key: str, vector: str, dimensions: int | None = None) -> DataFrame:
+    """id, v (array of double) of the rows that take part; ``dimensions``: the most frequent number by default."""
     v = F.col(vector).cast("array<double>")
     rows = rows.select(F.col(key).cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null")
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     rows = rows.where(F.exists("v", lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (size.n if size else 0))
+    if dimensions is None:
+        size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+        dimensions = size.n if size else 0
+    return rows.where(F.size("v") == dimensions)
 
 
 def fit(rows: DataFrame, lists: int = 64, sample: int = 8192, rounds: int = 8, seed: int = 5) -> Index | None:
@@ -93,7 +112,7 @@ def fit(rows: DataFrame, lists: int = 64, sample: int = 8192, rounds: int = 8, s
             return None
     order = np.argsort(found.column("id").to_numpy(), kind="stable")
     ids = found.column("id").to_numpy()[order]
-    originals = np.array(found.column("v").to_pylist(), np.float64)[order]
+    originals = _even(np.array(found.column("v").to_pylist(), np.float64)[order])
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(originals.shape[1],) * 2))[0]
     x = (unit_rows(originals) @ rotation).astype(np.float32)
@@ -146,9 +165,62 @@ def scan_chunk(
     return alive[partial <= limit + 1e-5]
 
 
+@dataclass(frozen=True)
+class Block:
+    """Some queries: ids, vectors, bounds, and which lists (columns) each probes."""
+
+    ids: np.ndarray
+    x: np.ndarray
+    bounds: np.ndarray
+    probed: np.ndarray
+
+
+HIT = "query_id long, vec_id long, score double"
+
+
+def _scan(index: Index, queries: Block, lists: DataFrame, k: int, chunk: int, block: int, epsilon: float) -> DataFrame:
+    """Hits of a block of queries: for each task of the stored lists at most ``k`` rows a query."""
+    shared = lists.sparkSession.sparkContext.broadcast((index, queries))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, asked = shared.value
+        turned_q, bounds = known.rotated(asked.x), asked.bounds.copy()
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for start in range(0, batch.num_rows, chunk):
+                part = batch.slice(start, chunk)
+                ids, own = part.column(0).to_numpy(), part.column(2).to_numpy()
+                x = _vectors(part.column(1))
+                turned = known.rotated(x)
+                for number in np.unique(own):
+                    rows = np.flatnonzero(own == number)
+                    rows = rows[np.argsort(ids[rows], kind="stable")]
+                    here, vectors = ids[rows], x[rows]
+                    columns = [np.ascontiguousarray(turned[rows, i : i + block]) for i in range(0, turned.shape[1], block)]
+                    for q in np.flatnonzero(asked.probed[:, number]):
+                        alive = scan_chunk(turned_q[q], bounds[q], columns, here, asked.ids[q], k, epsilon)
+                        if not len(alive):
+                            continue
+                        found, score = here[alive], cosines(vectors[alive], asked.x[q])
+                        if q in best:
+                            found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
+                        order = np.lexsort((found, -score))
+                        order = order[np.sort(np.unique(found[order], return_index=True)[1])[:k]]  # the best row of each id
+                        best[q] = found[order], score[order]
+                        if len(order) == k:  # the k-th nearest of these rows bounds those that follow
+                            bounds[q] = min(bounds[q], 2 - 2 * score[order[-1]] + 1e-5)
+        for q, (found, score) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), asked.ids[q])), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"]
+            )
+
+    return lists.select("id", "v", "list").mapInArrow(run, HIT)
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding",
     lists: int = 64, probes: int = 46, chunk: int = 4096, block: int = 16, epsilon: float = 2.1, sample: int = 8192,
+    query_block: int = 4096,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest cosines found for each row of ``queries`` (same columns as ``vectors``).
 
@@ -157,69 +229,50 @@ def search(
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     index = fit(rows, lists, sample)
-    out = "query_id long, vec_id long, score double"
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.array(batch.column(1).to_pylist(), np.float64)
-                own = index.lists(index.rotated(x), 1)[:, 0]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(own, pa.int32())], ["id", "v", "list"]
-                )
-
-    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                x = np.array(part.column(1).to_pylist(), np.float64)
-                bounds = index.bounds(part.column(0).to_numpy(), x, k)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), pa.array(bounds, pa.float64()),
-                        pa.array(index.lists(index.rotated(x), probes).tolist(), pa.list_(pa.int32())),
-                    ],
-                    ["query_id", "q", "bound", "lists"],
-                )
-
-    indexed = stored(rows.mapInArrow(placed, "id long, v array<double>, list int"), "ann-lists")
-    sizes = indexed.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))  # one row a list
-    sizes = F.broadcast(sizes.limit(lists))
-    candidates = indexed.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    kind = "query_id long, q array<double>, bound double, lists array<int>"
-    asked = stored(usable(queries, key, vector).mapInArrow(probed, kind), "ann-queries")
-    blocks = -(-asked.count() // chunk) or 1
-    asked = asked.select("query_id", "q", "bound", F.explode("lists").alias("list")).join(sizes, "list")
-    asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    # A group is one chunk of a list and one block of queries, both of bounded size.
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    candidates = candidates.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def scan(asked_rows: pd.DataFrame, chunk_rows: pd.DataFrame) -> pd.DataFrame:
-        if asked_rows.empty or chunk_rows.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        chunk_rows = chunk_rows.sort_values("id", kind="stable")
-        ids, x = chunk_rows["id"].to_numpy(), np.array(chunk_rows["v"].tolist(), np.float64)
-        turned = index.rotated(x)
-        columns = [np.ascontiguousarray(turned[:, i : i + block]) for i in range(0, turned.shape[1], block)]
-        q = np.array(asked_rows["q"].tolist(), np.float64)
-        found = []
-        for query_id, vec, turned_q, bound in zip(asked_rows["query_id"], q, index.rotated(q), asked_rows["bound"]):
-            alive = scan_chunk(turned_q, bound, columns, ids, query_id, k, epsilon)
-            if len(alive):
-                score = cosines(x[alive], vec)
-                best = np.lexsort((ids[alive], -score))
-                best = best[np.sort(np.unique(ids[alive][best], return_index=True)[1])[:k]]  # the best row of each id
-                found += [(query_id, i, s) for i, s in zip(ids[alive][best].tolist(), score[best].tolist())]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    group = ["list", "chunk", "part"]
-    asked, candidates = asked.select(*group, "query_id", "q", "bound"), candidates.select(*group, "id", "v")
-    grouped = asked.groupBy(*group).cogroup(candidates.groupBy(*group))
-    hits = grouped.applyInPandas(scan, out)
-    hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                own = index.lists(index.rotated(_vectors(batch.column(1))), 1)[:, 0]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.int32())], ["id", "v", "list"])
+
+    by_list = rows.mapInArrow(placed, "id long, v array<double>, list int").repartitionByRange("list", "id")
+    indexed = stored(by_list.sortWithinPartitions("list", "id"), "ann-lists")
+    candidates = indexed.agg(F.count_distinct("id")).first()[0]
+    asked = usable(queries, key, vector, index.originals.shape[1])
+
+    def scanned(asked: DataFrame, whole: bool) -> DataFrame:
+        """Hits of all queries, block by block; ``whole``: of all lists, and nothing is given up."""
+        count = asked.count()
+        blocks = -(-count // query_block)
+        dealt = stored(asked.withColumn("part", F.floor(F.rand(11) * blocks).cast("int")), "ann-queries")
+        path = new_path(spark, "ann-hits")
+        spark.createDataFrame([], HIT).write.parquet(path)
+        for number in range(blocks):
+            found = dealt.where(F.col("part") == number).toArrow()  # about query_block rows
+            if found.num_rows:
+                ids, x = found.column("id").to_numpy(), _vectors(found.column("v"))
+                near = index.lists(index.rotated(x), len(index.centroids) if whole else probes)
+                probed = np.zeros((len(ids), len(index.centroids)), bool)
+                np.put_along_axis(probed, near, True, axis=1)
+                step = range(0, len(ids), 512)
+                bounds = [np.full(len(ids[i : i + 512]), np.inf) if whole else index.bounds(ids[i : i + 512], x[i : i + 512], near[i : i + 512], k) for i in step]
+                queries_ = Block(ids, x, np.concatenate(bounds), probed)
+                _scan(index, queries_, indexed, k, chunk, block, np.inf if whole else epsilon).write.mode("append").parquet(path)
+        hits = spark.read.schema(HIT).parquet(path)
+        return hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    hits = stored(scanned(asked, whole=False), "ann-found")
+    own = indexed.select(F.col("id").alias("query_id")).distinct().withColumn("_own", F.lit(1))
+    counts = hits.groupBy("query_id").agg(F.count("*").alias("_n"))
+    short = asked.select(F.col("id").alias("query_id")).distinct().join(counts, "query_id", "left").join(own, "query_id", "left")
+    reachable = F.lit(candidates) - F.coalesce("_own", F.lit(0))
+    short = short.where(F.coalesce("_n", F.lit(0)) < F.least(F.lit(k), reachable)).select(F.col("query_id").alias("id"))
+    again = stored(asked.join(short, "id", "left_semi"), "ann-short")
+    if not again.isEmpty():
+        hits = hits.unionByName(scanned(again, whole=True)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

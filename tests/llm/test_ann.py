@@ -87,18 +87,35 @@ def test_recall_with_production_parameters(spark):
         asked = df.where(F.col("vec_id").isin([i for i, _ in queries]))
         expected, found = brute(rows, queries, 5), results(ann.search(df, asked))
         hits = sum(len({i for _, i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
-        print(name, hits / (5 * len(expected)))
+        assert {q: len(v) for q, v in found.items()} == {q: 5 for q in expected}, name
         assert hits / (5 * len(expected)) >= 0.9, name
 
 
-def test_the_sample_gives_no_results(spark):
-    """One of many lists probed: the rows of the other lists are no results, though the sample holds all of them."""
+def test_results_come_from_the_probed_lists_while_they_suffice(spark):
+    """One of many lists probed: rows of the other lists, all of them in the sample, come in only where k aren't there."""
     rng = np.random.default_rng(4)
     centres = np.eye(8) * 10
     rows = [(i, (centres[i % 8] + rng.normal(size=8) * 0.1).tolist()) for i in range(32)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    found = results(ann.search(df, df.where("vec_id = 0"), k=9, lists=8, probes=1))
-    assert 0 < len(found[0]) < 9
+    for k in (1, 3, 9, 50):
+        found = results(ann.search(df, df.where("vec_id = 0"), k=k, lists=8, probes=1))
+        assert [i for _, i, _ in found[0]] == [i for i, _ in brute(rows, rows[:1], k)[0]] and len(found[0]) == min(k, 31)
+
+
+def test_queries_in_blocks_of_other_dimensions_and_sizes(spark):
+    """Most queries have two numbers, the vectors three; components near the ends of the range of a double."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(120)]
+    rows += [(200, [1e300, 2e300, -1e300]), (201, [1e-300, 3e-300, 0.0]), (202, [1e300, 1e-300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    flat = spark.createDataFrame([(1000 + i, [1.0, 2.0]) for i in range(300)], df.schema)
+    asked = df.where("vec_id % 10 = 0 or vec_id > 200").unionByName(flat)
+    found = results(ann.search(df, asked, lists=4, probes=3, query_block=4, chunk=16))
+    scaled = [(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in rows]
+    expected = brute(scaled, [r for r in scaled if r[0] % 10 == 0 or r[0] > 200], 5)
+    assert set(found) == set(expected) and all(len(v) == 5 and np.isfinite([s for _, _, s in v]).all() for v in found.values())
+    hits = sum(len({i for _, i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert hits / (5 * len(expected)) >= 0.9
 
 
 def test_repeated_ids_take_no_places(spark):
