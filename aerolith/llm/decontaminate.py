@@ -2,7 +2,9 @@
 
 1. Each run of five words of a test item is a seed.  A Bloom filter of the seeds, of bounded
    size whatever the benchmark, tells a scan of the training texts which places to look at;
-   around those it cuts stretches of words.  Nothing else of the corpus moves.
+   around those it cuts stretches of words, long ones into overlapping windows of some four items'
+   length, so that a document of many items isn't aligned whole with each.  Nothing else of the
+   corpus moves.
 2. The stretches' n-grams are joined with the seeds by equal keys.  A stretch and an item are
    aligned if they share a seed that few items hold (at most ``rare``) or two different seeds.
    So a phrase of very many items alone starts no alignment; how often the corpus holds a seed
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import SLICE_CHARS, stored
+from aerolith.llm.common import SLICE_CHARS, slices, stored
 
 _SPLIT = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -123,8 +125,17 @@ def stretches(docs: DataFrame, bloom: Bloom, size: int, reach: int) -> DataFrame
         if len(at):
             for group in np.split(at, np.flatnonzero(np.diff(at) > reach) + 1):
                 low, high = max(0, int(group[0]) - reach), int(group[-1]) + size + reach
-                grams = np.unique(hashes[group]).view(np.int64).tolist()
-                yield base + low, b" ".join(words[low:high]).decode("utf-8", "replace"), grams
+                high = min(high, len(words))
+                while True:
+                    # An alignment that scores enough spans less than two item lengths: it lies in one of these windows.
+                    end = min(low + 4 * reach + size, high)
+                    inside = group[(group >= low) & (group + size <= end)]
+                    if len(inside):
+                        grams = np.unique(hashes[inside]).view(np.int64).tolist()
+                        yield base + low, b" ".join(words[low:end]).decode("utf-8", "replace"), grams
+                    if end == high:
+                        break
+                    low += 2 * reach
 
     def parts(text: str) -> Iterator[tuple[int, str, list[int]]]:
         if len(text) <= SLICE_CHARS:
@@ -188,7 +199,7 @@ def align(pairs: list[tuple[list[str], list[str]]], at_once: int = 64) -> list[t
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         items = [t.split(" ") for t in batch.column("item_words").to_pylist()]
         others = [t.split(" ") for t in batch.column("words").to_pylist()]
         scores = align(list(zip(items, others, strict=True)))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import slices
@@ -247,8 +247,14 @@ def labelled_strings(docs: DataFrame, documents: int = 2000) -> tuple[list[bytes
     if not total:
         return [], []
     scale = 1 << 30
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < int(min(1.0, documents / total) * scale) + (documents >= total)
-    found = docs.where(share).select("text").mapInArrow(strings, "secret boolean, s binary").distinct().toArrow()
+    # Null ids would all hash alike; an id of very many rows counts with a bounded number of them.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    share = F.pmod(spread, F.lit(scale)) < int(min(1.0, documents / total) * scale) + (documents >= total)
+    sample = docs.where(share)
+    if sample.count() > 4 * documents:
+        each = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+        sample = sample.withColumn("_copy", F.row_number().over(each)).where("_copy = 1").drop("_copy").limit(4 * documents)
+    found = sample.select("text").mapInArrow(strings, "secret boolean, s binary").distinct().toArrow()
     pairs = sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist()))
     return [s for secret, s in pairs if secret], [s for secret, s in pairs if not secret]
 

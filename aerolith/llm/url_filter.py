@@ -55,12 +55,21 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def _grams(rows: DataFrame, text: str, order: int) -> DataFrame:
-    """``rows`` with a column ``gram`` per position of ``text``: its character behind the ``order`` before it."""
-    padded = F.concat(F.lit(START * order), F.col(text))
-    places = F.sequence(F.lit(1), F.length(text))
-    return rows.withColumn("_padded", padded).withColumn(
-        "_at", F.explode(F.when(F.length(text) > 0, places))
-    ).withColumn("gram", F.expr(f"substring(_padded, _at, {order + 1})")).drop("_padded", "_at")
+    """The other columns of ``rows`` and ``gram`` for each position of ``text``: its character behind the ``order`` before it.
+
+    The text itself isn't carried along: a row for each of its characters would hold the square of its length.
+    """
+    letters = F.split(F.concat(F.lit(START * order), F.col(text)), "")
+    rows = rows.withColumn("_letters", F.when(F.length(text) > 0, letters)).drop(text)
+    parts = ", ".join(f"_letters[_i + {k}]" for k in range(order + 1))
+    last = f"size(_letters) - {order + 1}"
+    grams = F.expr(f"transform(sequence(0, {last}), _i -> concat({parts}))")
+    return rows.withColumn("gram", F.explode(F.when(F.col("_letters").isNotNull(), grams))).drop("_letters")
+
+
+def _key(url: Column) -> list[Column]:
+    """128 bits that stand for a url beside each of its characters."""
+    return [F.xxhash64(url).alias("_a"), F.xxhash64(F.lit("url"), url).alias("_b")]
 
 
 def model(urls: DataFrame, order: int) -> DataFrame:
@@ -103,9 +112,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, order
     urls = rows.groupBy("url", "label").agg(F.count("*").alias("copies"))
     weighed = rows.select("url", "label")
     differences = model(weighed, order)
-    scored = _grams(urls.select("url"), "url", order).join(differences, "gram")
-    scored = scored.groupBy("url").agg(F.avg("d").alias("score"))
-    urls = stored(urls.join(scored, "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "url-scores")
+    keyed = urls.select("*", *_key(F.col("url")))
+    scored = _grams(keyed.select("_a", "_b", "url"), "url", order).join(differences, "gram")
+    scored = scored.groupBy("_a", "_b").agg(F.avg("d").alias("score"))
+    urls = keyed.join(scored, ["_a", "_b"], "left").drop("_a", "_b").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    urls = stored(urls, "url-scores")
     threshold = calibrated(urls)
     kept = rows.join(urls.select("url", "score"), "url")
     method = F.when(F.col("score") >= threshold, "allow").otherwise("block")

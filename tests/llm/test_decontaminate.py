@@ -91,11 +91,29 @@ def test_nothing(spark, planted, made, nothing):
     assert d.contaminated(made, items).where(F.col("item_id") > 99).collect() == []
 
 
-def test_slices_of_long_texts(spark, planted, monkeypatch):
-    docs, items = planted
-    words = docs[0][1]
-    seeds = {h for _, t in items for h in d.gram_hashes(d.words_of(t), 5).tolist()}
-    assert seeds & set(d.gram_hashes(d.words_of(words), 5).tolist())
+def test_slices_of_long_texts(spark, planted):
+    """An item behind more characters than a slice holds, and across the place where a slice ends."""
+    _, items = planted
+    long = "word " * (d.SLICE_CHARS // 5)
+    docs = [(1, long + " " + items[0][1]), (2, long[: -len(items[1][1]) // 2] + items[1][1]), (3, long)]
+    assert len(docs[0][1]) > d.SLICE_CHARS
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert set(found(d.contaminated(left, right))) == {(1, items[0][0]), (2, items[1][0])}
+
+
+def test_a_document_of_very_many_items_is_cut_into_windows(spark):
+    """Every item is found, and what is aligned grows with the document, not with its square."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    items = [(i, " ".join(word() for _ in range(rng.randint(12, 40)))) for i in range(2000)]
+    text = " ".join(t for _, t in items)
+    left, right = spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    seeds = d.seeds_of(right, 5).distinct()
+    cut = d.stretches(left, d.Bloom.of(seeds, seeds.count()), 5, 40).collect()
+    longest = max(len(r.words.split()) for r in cut)
+    assert longest <= 4 * 40 + 5 and sum(len(r.words) for r in cut) < 3 * len(text) and len(cut) > 300
+    got = found(d.contaminated(left, right))
+    assert set(got) == {(1, i) for i, _ in items} and all(score == 1 for score in got.values())
 
 
 def test_edited_copies_leaked_more_often_than_rare(spark):

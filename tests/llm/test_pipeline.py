@@ -64,3 +64,19 @@ def test_stages_on_odd_rows_and_nothing(spark, made, nothing):
             assert kept.columns == docs.columns
             docs = kept.cache()
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+
+
+def test_no_stage_loses_clean_rows_of_null_or_repeated_ids(spark):
+    """Leaks and clean texts under one id, and under no id: only the leaks go, and no other row."""
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").limit(3).collect()]
+    clean = [f"clean text number {w} about rivers, hills and towns of the north" for w in ("one", "two", "three")]
+    rows = [(None, items[0]), (None, clean[0]), (7, items[1]), (7, clean[1]), (8, clean[2]), (9, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "web", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert left == sorted(((d, t) for d, t in rows if t not in items), key=str)
+    secrets_kept = dict(corpus_pipeline.STAGES)["secret_scan"](spark, docs, SF)
+    assert sorted(((r.doc_id, r.text) for r in secrets_kept.collect()), key=str) == sorted(rows, key=str)
+    packed = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, docs, SF).collect()
+    assert sorted((str(r.doc_id) for r in packed)) == sorted(str(d) for d, _ in rows)

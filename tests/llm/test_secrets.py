@@ -114,3 +114,11 @@ def test_several_keys_and_spans_in_one_run(model):
     assert model.spans(text.encode()) == [(at[0], 3, at[0] + 24), (at[1], 3, at[1] + 24), (at[2], 1, len(text))]
     plain = "/".join(["reading", "configuration", "stream", "handler", "the"] * 2000)
     assert model.segments(plain.encode()) == [] and len(model.segments(f"{plain}/{one}/{plain}/{two}".encode())) == 2
+
+
+def test_null_ids_and_copies_are_sampled_like_others(spark):
+    rows = [(None, f"unnamed text number n{i}a with words{i}b") for i in range(3000)] + [(5, "the same row again")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, words = secrets.labelled_strings(df, documents=60)
+    assert 0 < sum(w.startswith(b"words") for w in words) <= 300 * 10
+    assert len(words) < 1500

@@ -104,3 +104,15 @@ def test_threshold_separates_labelled_urls(spark):
     t = url_filter.calibrated(spark.createDataFrame(rows, "url string, label string, copies long, score double"))
     assert 0.1 < t <= 0.4
     assert F.lit(t) is not None
+
+
+def test_a_url_of_a_million_characters(spark):
+    """Its characters' rows don't carry it along; astral characters count as one."""
+    rows = [(1, "https://a.org/" + "x" * 60), (2, "https://b.com/de/" + "y" * 60), (3, "data:" + "ab\U0001f600" * 330_000), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    found = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert len(found) == 5 and found[3].rule is None and found[3].verdict in ("allow", "block")
+    assert found[1].verdict == "allow" and found[2].verdict == "block" and found[4].score == found[5].score == 0
+    grams = url_filter._grams(df.where("page_id = 3").select("page_id", "url"), "url", 4)
+    assert grams.columns == ["page_id", "gram"] and grams.count() == 5 + 990_000
+    assert {len(r.gram) for r in grams.distinct().collect()} == {5}
