@@ -21,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import new_path, stored
+from aerolith.llm.common import new_path, slices, stored
 from aerolith.llm.tokens import VOCABULARY, encoder
 
 _BLOCK = 512
 #: Of so many segments, 20 bytes each, the starts are broadcast; with more, of a trillion ids, they are joined by shuffle.
 _MOST_STARTS = 1 << 20
-#: Bytes of text that a task encodes, about.
-_PART_BYTES = 1 << 25
+#: Bytes of text that a task encodes, about, while that makes no more than so many tasks; words that a worker remembers.
+_PART_BYTES, _MOST_PARTS, _MOST_WORDS = 1 << 23, 50_000, 400_000
 SEGMENT = (
     "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<long>, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
@@ -103,9 +103,9 @@ def write(
     end = np.array([end_id], "<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, words = TaskContext.get().partitionId(), encoder(vocabulary)
+        part, words = TaskContext.get().partitionId(), encoder(vocabulary, _MOST_WORDS)
         held, size, segment = [], 0, 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = words.encode(text.as_py()) + end
                 held.append((doc_id, ids))
@@ -119,7 +119,8 @@ def write(
     order = ["doc_id", "_tie"]
     rows = docs.select("doc_id", "text").withColumn("_tie", F.xxhash64("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = rows.repartitionByRange(-(-size // _PART_BYTES) or 1, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    parts = min(_MOST_PARTS, -(-size // _PART_BYTES) or 1)
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(segments, SEGMENT).write.parquet(path)
 
 
