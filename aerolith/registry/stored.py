@@ -24,6 +24,7 @@ from aerolith.sinks.tables import create_table, upsert
 from aerolith.sources.tables import read_table
 from aerolith.streaming.corrections import correct_features
 from aerolith.streaming.ingest import keep_readings
+from aerolith.streaming.log import append_to_log, close_hours, correct_hours, read_hours
 from aerolith.streaming.rollup import keep_hours_current
 
 _SERIES = TableSpec("pm25_base", 1, ("region", "timestamp"))
@@ -202,6 +203,28 @@ def stream_hourly_rollup(spark, sf_dir):
     return a.wrap_angle(a.rounded(out), "wind_direction_avg")
 
 
+@query(
+    "stream_closed_hours",
+    f"""WITH {a.READINGS}
+    SELECT region, date_trunc('hour', "timestamp") AS "timestamp",
+           {a.sql_wrapped(a.sql_circular_mean('wind_direction'), 'wind_direction_avg')},
+           {a.sql_round(a.sql_circular_std('wind_direction'), 'wind_direction_std')}, count(*) AS reading_count
+    FROM valid WHERE date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 2 HOUR
+    GROUP BY 1, 2""",
+)
+def stream_closed_hours(spark, sf_dir):
+    """Batches in falling order of time: all but the first are late.  Hours are closed by the watermark, corrected by what
+    came late, and never rewritten."""
+    root = work_path(spark, "closed_hours")
+    stream = valid_directions(_event_stream(spark, sf_dir), "wind_direction").select("event_id", "region", "timestamp", "wind_direction")
+    append_to_log(stream, root, f"{root}/log").awaitTermination()
+    settings = {"key": ["event_id"], "value": "wind_direction", "name": "wind_direction", "circular": True}
+    close_hours(spark, root, f"{root}/close", stream.schema, **settings).awaitTermination()
+    correct_hours(spark, root, stream.schema, **settings)
+    out = read_hours(spark, root).withColumn("timestamp", local_clock(F.col("timestamp"), "UTC"))
+    return a.wrap_angle(a.rounded(out), "wind_direction_avg")
+
+
 @query(
     "stream_incremental_ingest",
     f"""WITH {a.READINGS} SELECT event_id, station_id, "timestamp", {a.sql_round('wind_speed', 'wind_speed')} FROM readings""",
