@@ -24,5 +24,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     from aerolith.registry import (  # noqa: F401
-        cleaning, documents, features, files, joins, merging, models, quality, rollups, stored, time_joins,
+        cleaning, documents, features, files, joins, mergeable, merging, models, quality, rollups, stored, time_joins,
     )
