@@ -107,9 +107,15 @@ def describe_columns(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     return out
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First rows, for looking at a table; not part of any pipeline."""
-    return df.limit(n)
+def column_descriptions(df: DataFrame) -> DataFrame:
+    """column, type, comment of a table as it was stored; columns without a description have NULL."""
+    rows = [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema.fields]
+    return df.sparkSession.createDataFrame(rows, "column string, type string, comment string")
+
+
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first rows by ``order``, for looking at a table."""
+    return df.orderBy(*order).limit(n)
 
 
 def column_profile(df: DataFrame) -> DataFrame:

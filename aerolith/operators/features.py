@@ -353,7 +353,7 @@ def missing_days(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", tz:
     """Days between a key's first and last observation without any observation."""
     days = df.select(*keys, F.to_date(local_clock(F.col(ts), tz)).alias("day")).distinct()
     spans = days.groupBy(*keys).agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    spine = spans.select(*keys, F.explode(day_sequence(F.col("first"), F.col("last"))).alias("day"))
+    spine = date_spine(spans, "first", "last").select(*keys, "day")
     return spine.join(days, [*keys, "day"], "left_anti")
 
 

@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.geo import nearest_region
 from aerolith.functions.times import hour_start, local_clock
-from aerolith.operators.clean import valid_directions
+from aerolith.operators.clean import column_descriptions, column_profile, preview, valid_directions
 from aerolith.operators.groups import apply_to_groups, group_aggregate
 from aerolith.plans.ingest import store_features
 from aerolith.plans.series import store_series
 from aerolith.registry import query
 from aerolith.registry import adapters as a
 from aerolith.registry.features import _calendar_sql, _expected, _features_sql
-from aerolith.schemas import TableSpec
+from aerolith.schemas import FEATURE_TABLES, TableSpec
 from aerolith.session import materialize, work_path
 from aerolith.sinks.tables import create_table, upsert
 from aerolith.sources.tables import read_table
-from aerolith.streaming.corrections import correct_features
+from aerolith.streaming.corrections import correct_features, correct_from_stream
 from aerolith.streaming.ingest import keep_readings
 from aerolith.streaming.log import append_to_log, close_hours, correct_hours, read_hours
 from aerolith.streaming.rollup import keep_hours_current
@@ -136,6 +136,52 @@ def late_corrections_gaps(spark, sf_dir):
     return _correct(spark, series, changed, "corrections_gaps")
 
 
+@query(
+    "late_corrections_stream",
+    _corrected_sql("""SELECT region, "timestamp",
+      pm25 + CASE "timestamp" WHEN TIMESTAMP '2001-01-05' THEN 50 WHEN TIMESTAMP '2000-03-02' THEN -20 ELSE 0 END AS pm25 FROM daily"""),
+)
+def late_corrections_stream(spark, sf_dir):
+    """Corrections as a stream of files, the later day first."""
+    series, root, landing = materialize(a.daily(spark, sf_dir)), work_path(spark, "corrections_stream"), work_path(spark, "changes")
+    store_series(spark, series, "pm25_daily", root)
+    for day, change in (("2001-01-05", 50), ("2000-03-02", -20)):
+        changed = series.filter(F.col("timestamp") == F.lit(day).cast("timestamp_ntz")).withColumn("pm25", F.col("pm25") + change)
+        changed.coalesce(1).write.mode("append").parquet(landing)
+    changes = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    correct_from_stream(changes, "pm25_daily", root, ["region", "timestamp", "pm25"], f"{root}/checkpoint").awaitTermination()
+    return a.rounded(read_table(spark, root, "pm25_daily"))
+
+
+@query(
+    "stored_column_descriptions",
+    f"""WITH {a.DAILY} SELECT * FROM (VALUES
+      ('date', 'date', 'Day of the reading', (SELECT count("timestamp") FROM daily)),
+      ('city', 'string', 'City of the sensor', (SELECT count(region) FROM daily)),
+      ('pm25', 'double', 'Fine particulate matter below 2.5 micrometres', (SELECT count(pm25) FROM daily)),
+      ('sensor_id', 'int', 'Sensor that took the reading', (SELECT count(*) FROM daily)),
+      ('n_readings', 'int', NULL, (SELECT count(*) FROM daily))) t("column", type, comment, present)""",
+)
+def stored_column_descriptions(spark, sf_dir):
+    """Descriptions that a table was stored with, read back beside the columns' counts."""
+    root, spec = work_path(spark, "described"), FEATURE_TABLES["air_quality"]
+    days = a.daily(spark, sf_dir).select(
+        F.to_date("timestamp").alias("date"), F.col("region").alias("city"), "pm25", F.lit(1).alias("sensor_id"), F.lit(3).alias("n_readings")
+    )
+    create_table(days, spec, root)
+    stored = read_table(spark, root, spec.name, spec.version, event_time="date")
+    counts = column_profile(stored).select("column", "present")
+    return column_descriptions(stored).join(counts, "column")
+
+
+@query(
+    "preview_rows",
+    f"""WITH {a.DAILY} SELECT region, "timestamp", {a.sql_round('pm25', 'pm25')} FROM daily ORDER BY "timestamp" DESC, region LIMIT 5""",
+)
+def preview_rows(spark, sf_dir):
+    return a.rounded(preview(a.daily(spark, sf_dir).select("region", "timestamp", "pm25"), [F.desc("timestamp"), "region"]))
+
+
 @query(
     "daily_ingest_increment",
     _features_sql(

@@ -11,6 +11,9 @@ from aerolith.functions.text import to_number
 from aerolith.functions.times import parse_day, parse_instant
 
 
+_CORRUPT = "_corrupt_line"
+
+
 def _csv(spark: SparkSession, path, schema: str, pattern: str | None = None, mode: str = "PERMISSIVE", **options):
     reader = spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", True)
     for key, value in options.items():
@@ -42,6 +45,26 @@ def read_station_files(
     )
 
 
+def rejected_lines(
+    spark: SparkSession, directory, schema: str = schemas.STATION_HOURLY_SPEED, pattern: str | None = None,
+    required: str = "station_name",
+) -> DataFrame:
+    """file, reason, record of the lines that ``read_station_files`` leaves out or reads in part.
+
+    ``corrupt``: more or fewer fields than columns, or a field of another type; ``no <required>``: a whole line
+    without that value, as the fields that were read.
+    """
+    rows = _csv(spark, directory, f"{schema}, {_CORRUPT} string", pattern, columnNameOfCorruptRecord=_CORRUPT)
+    fields = [f.name for f in rows.schema.fields if f.name != _CORRUPT]
+    corrupt, lacking = F.col(_CORRUPT).isNotNull(), F.col(required).isNull()
+    reason = F.when(corrupt, "corrupt").otherwise(f"no {required}")
+    record = F.coalesce(F.col(_CORRUPT), F.concat_ws(",", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]))
+    # A line is judged as a whole: the condition on the record has all columns parsed, whichever a reader uses.
+    bad = (corrupt | lacking) & (F.length(record) >= 0)
+    found = rows.select(F.col("_metadata.file_name").alias("file"), reason.alias("reason"), record.alias("record"), bad.alias("_bad"))
+    return found.filter("_bad").drop("_bad")
+
+
 def read_yearly_stations(
     spark: SparkSession, directories: dict[str, str], schema: str = schemas.STATION_HOURLY_SPEED,
     pattern: str | None = None,

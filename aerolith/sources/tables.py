@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.schemas import MONTHLY
+from aerolith.operators.clean import describe_columns
+from aerolith.schemas import FEATURE_TABLES, MONTHLY
 
 PERIOD = "period_key"
 DAILY_TABLES = ("pm25_daily", "wind_direction_daily", "wind_speed_daily", "air_temperature_daily")
@@ -62,8 +63,14 @@ def read_stored(spark: SparkSession, root: str, name: str, version: int) -> Data
     found = spark.read.parquet(path)
     names = [f.name for f in found.schema]
     folders = _partition_columns(spark, path)
-    fields = [T.StructField(n, T.StringType() if n in folders else found.schema[n].dataType) for n in names]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    # Files keep the descriptions of their columns; those of the folders' names are the table's.
+    known = FEATURE_TABLES[name].comments if name in FEATURE_TABLES else {}
+    fields = [
+        T.StructField(n, T.StringType()) if n in folders else T.StructField(n, found.schema[n].dataType, metadata=found.schema[n].metadata)
+        for n in names
+    ]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    return describe_columns(stored, {n: c for n, c in known.items() if n in folders})
 
 
 def read_table(

@@ -44,21 +44,3 @@ def keep_readings(readings: DataFrame, spec: TableSpec, root: str, checkpoint: s
         .trigger(availableNow=True)
         .start()
     )
-
-
-def append_to_files(readings: DataFrame, path: str, checkpoint: str, ts: str = "timestamp"):
-    """Append what has arrived since the last run to day folders; returns the running query.
-
-    Stops by itself once all landed files are processed.  A run after a crash continues
-    where the last completed batch ended, without writing a file twice.
-    """
-    return (
-        readings.withColumn("day", F.to_date(ts))
-        .writeStream.format("parquet")
-        .partitionBy("day")
-        .option("checkpointLocation", checkpoint)
-        .option("path", path)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )

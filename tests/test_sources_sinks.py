@@ -165,3 +165,16 @@ def test_upsert_several_and_comments(spark, tmp_path):
     assert upsert_all({"air_quality": day, "weather": day.select("city", "date").limit(0)}, root) == {"air_quality": True, "weather": False}
     stored = spark.read.parquet(table_path(root, "air_quality", schemas.FEATURE_TABLES["air_quality"].version))
     assert "comment" in stored.schema["pm25"].metadata
+
+
+def test_rejected_lines(spark, tmp_path):
+    head = "timestamp,station_id,station_name,wind_speed_avg,reading_count,latitude,longitude,last_update"
+    good = "2024-01-01T00:00:00Z,x,Old,2.5,3,1.0,1.0,2024-01-01T00:00:00Z"
+    lines = [head, "2024-01-01T00:00:00Z,x", f"{good},too,many", good.replace("Old", ""), good, good.replace("2.5", "bad")]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.csv").write_text(f"{head}\n{good}\n")
+    rows = files.rejected_lines(spark, str(tmp_path))
+    assert sorted(map(tuple, rows.collect())) == sorted(
+        [("a.csv", "corrupt", lines[1]), ("a.csv", "corrupt", lines[2]), ("a.csv", "no station_name", lines[3]), ("a.csv", "corrupt", lines[5])]
+    )
+    assert {r.reason: r["count"] for r in rows.groupBy("reason").count().collect()} == {"corrupt": 3, "no station_name": 1}
