@@ -129,7 +129,7 @@ def cut(docs: DataFrame, capacity: int, vocabulary: str, separator: int, most_wo
 
 def pack(
     docs: DataFrame, capacity: int = 2048, vocabulary: str = VOCABULARY, separator: int = 0, payload: Column | None = None,
-    most_words: int = 300_000,
+    most_words: int = 420_000,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id, offset: every document's pieces and their places.
 

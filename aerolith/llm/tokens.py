@@ -66,7 +66,10 @@ class _Words(dict):
     def __missing__(self, word: str) -> bytes:
         if plain := _PLAIN.fullmatch(word):  # already split: straight to the library's merges
             line, letters, marks = plain.groups()
-            name = "".join(map(self.letters.__getitem__, (letters if line else f" {letters}").encode()))
+            if letters.isascii():  # these letters stand for themselves
+                name = letters if line else f"{self.letters[32]}{letters}"
+            else:
+                name = "".join(map(self.letters.__getitem__, (letters if line else f" {letters}").encode()))
             found = [token.id for token in self.model.tokenize(name)]
             ids = (self.line if line else b"") + struct.pack(f"<{len(found)}I", *found) + self._marks(marks)
         else:
