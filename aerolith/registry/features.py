@@ -141,7 +141,7 @@ _READINGS = replace(
 @query(
     "features_blocked_readings",
     _features_sql(
-        a.READINGS, "readings", _READINGS, ["wind_speed"], ["event_type"], '"timestamp", event_id', [],
+        a.READINGS, "readings", replace(_READINGS, lags=(1, 2, 3, 6, 12, 24), windows=(6, 12, 24, 72, 168), min_periods="half"), ["wind_speed"], ["event_type"], '"timestamp", event_id', [],
         ["event_type", "timestamp", "event_id"],
     ),
 )
@@ -188,7 +188,7 @@ def sensor_features_early(spark, sf_dir):
     _features_sql(
         a.DAILY + """, city AS (SELECT region AS city, CAST("timestamp" AS DATE) AS date,
           air_temperature_avg_mean AS temperature_2m_mean, wind_speed_avg_mean AS wind_speed_10m_max FROM weather)""",
-        "city", f.CITY_DAYS, ["temperature_2m_mean", "wind_speed_10m_max"], ["city"], "date", [], ["city", "date"],
+        "city", replace(f.CITY_DAYS, lags=(), windows=(3, 7), min_periods=1), ["temperature_2m_mean", "wind_speed_10m_max"], ["city"], "date", [], ["city", "date"],
         complete=False,
     ),
 )

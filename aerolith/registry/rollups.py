@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aerolith.constants import INDEX_BANDS, INDEX_TOP_BAND
 from aerolith.functions.airquality import concentration_to_index, index_band
 from aerolith.functions.geo import nearest_region
 from aerolith.operators import rollup
@@ -257,13 +256,11 @@ def daily_aqi(spark, sf_dir):
     return rollup.daily_index(r, "value", tz="Asia/Singapore", source_tz="UTC")
 
 
-_BANDS = " ".join(f"WHEN aqi < {upper} THEN '{label}'" for upper, label in INDEX_BANDS)
-
-
 @query(
     "aqi_category",
     f"""WITH x AS (SELECT event_id, value, {index_sql('value')} AS aqi FROM events)
-    SELECT event_id, value, aqi, CASE {_BANDS} WHEN aqi IS NOT NULL THEN '{INDEX_TOP_BAND}' END AS band FROM x""",
+    SELECT event_id, value, aqi, CASE WHEN aqi < 50 THEN 'Good' WHEN aqi < 100 THEN 'Moderate' WHEN aqi < 150 THEN 'Unhealthy for Some'
+      WHEN aqi < 200 THEN 'Unhealthy' WHEN aqi < 300 THEN 'Very Unhealthy' WHEN aqi IS NOT NULL THEN 'Hazardous' END AS band FROM x""",
 )
 def aqi_category(spark, sf_dir):
     e = a.table(spark, sf_dir, "events").select("event_id", "value")
