@@ -28,7 +28,7 @@ _BLOCK = 512
 #: Of so many segments, 20 bytes each, the starts are broadcast; with more, of a trillion ids, they are joined by shuffle.
 _MOST_STARTS = 1 << 20
 #: Bytes of text that a task encodes, about, while that makes no more than so many tasks; words that a worker remembers.
-_PART_BYTES, _MOST_PARTS, _MOST_WORDS = 1 << 23, 50_000, 420_000
+_PART_BYTES, _MOST_PARTS, _MOST_WORDS = 1 << 23, 50_000, 600_000
 SEGMENT = (
     "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<long>, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
