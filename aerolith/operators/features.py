@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,9 @@ PLAIN_WINDOW_ROWS = 2_000_000
 HOURLY_SERIES_ROWS = 876_600
 DAILY_SERIES_ROWS = 36_525
 
+# 168 rows as frames took half the time of layers (100,000 readings, 26 features).
+LONG_WINDOW = 1_000
+
 _STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 ALL_STATS = ("mean", "std", "min", "max")
 
@@ -38,8 +43,9 @@ class SeriesSpec:
 
     ``lagged``: (name, source column); ``rolled``: (name, source column, statistics).
     ``min_periods``: values a window needs: "half" of it (at least one), "full", or a number.
-    ``doubling``: put windows together from windows of 1, 2, 4, 8, ... rows.  A frame of w rows
-    costs w steps per row in Spark, for each statistic; doubling costs log2(w) for all of them.
+    ``layered``: put windows together from windows of 1, 8, 64, ... rows.  A frame of w rows costs
+    w steps per row in Spark, this costs some steps for each digit of w, but more for each step:
+    by default it is taken from windows of ``LONG_WINDOW`` rows on.
     """
 
     unit: str
@@ -49,7 +55,7 @@ class SeriesSpec:
     windows: tuple[int, ...]
     min_periods: str | int = "half"
     rows_per_key: int | None = None
-    doubling: bool = False
+    layered: bool | None = None
     components_of: str | None = None  # direction column to split into wind_u / wind_v
     horizons: tuple[int, ...] = ()  # rows ahead, for targets
     target: str | None = None
@@ -67,9 +73,8 @@ class SeriesSpec:
 
 def _scalar_spec(name: str, column: str, unit: str, lags, windows) -> SeriesSpec:
     bound = DAILY_SERIES_ROWS if unit == "d" else HOURLY_SERIES_ROWS
-    # Daily windows are short enough for frames of their own.
     return SeriesSpec(
-        unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound, doubling=unit == "h"
+        unit, ((name, column),), lags, ((name, column, ALL_STATS),), windows, rows_per_key=bound
     )
 
 
@@ -82,7 +87,6 @@ def _direction_spec(direction: str, spread: str, unit: str, lags, windows) -> Se
         (("wind_u", "wind_u", ("mean",)), ("wind_v", "wind_v", ("mean",)), ("direction_std", spread, ("mean",))),
         windows,
         rows_per_key=bound,
-        doubling=unit == "h",
         components_of=direction,
     )
 
@@ -108,7 +112,7 @@ SERIES = {
 
 TARGETS = SeriesSpec(
     "h", (("pm25", "pm25"),), C.TARGET_LAGS, (("pm25", "pm25", ("mean", "std")),), C.TARGET_WINDOWS,
-    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, doubling=True, horizons=C.TARGET_HORIZONS, target="pm25",
+    min_periods="full", rows_per_key=HOURLY_SERIES_ROWS, horizons=C.TARGET_HORIZONS, target="pm25",
 )
 
 SENSOR_DAYS = SeriesSpec(
@@ -137,8 +141,9 @@ def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
             columns.append(F.lag(source, n).over(ordered).alias(spec.lag_pattern.format(name=name, n=n, unit=spec.unit)))
     for n in spec.horizons:
         columns.append(F.lead(spec.target, n).over(ordered).alias(f"target_{n // 24}d"))
-    if spec.doubling:
-        return _doubled(df, spec, ordered, columns)
+    long = max(spec.windows, default=0) >= LONG_WINDOW
+    if long if spec.layered is None else spec.layered:
+        return _layered(df, spec, ordered, columns)
     for n in spec.windows:
         # The n rows before the current one; the current value never leaks into a feature.
         frame, needed = ordered.rowsBetween(-n, -1), _needed(spec, n)
@@ -150,46 +155,58 @@ def _rolling(df: DataFrame, spec: SeriesSpec, ordered) -> DataFrame:
     return df.select("*", *columns)
 
 
-# --- windows by doubling ------------------------------------------------------------------
+# --- windows of windows -------------------------------------------------------------------
 #
 # The state of a window: how many values it has, their sum, the sum of their squared distances
-# from their mean, and their extremes.  Two neighbouring windows of 2^k rows make one of 2^(k+1),
-# with a single lag.  A window of w rows is then one state for each binary digit of w; for the
-# extremes, which don't mind counting a row twice, two overlapping ones.  Nothing is subtracted,
-# so nothing cancels out, whatever the length of the series.
+# from their mean, and their extremes.  Eight neighbouring windows of 8^k rows make one of 8^(k+1),
+# from seven lags.  A window of w rows is then put together from as many states as the digits of w
+# to base 8 add up to.  Nothing is subtracted, so nothing cancels out, however long the series.
+
+RADIX = 8
 
 
 def _table(source: str, level: int) -> str:
     return f"_rolled_{source}_{level}"
 
 
-def _merged(early: Column, late: Column, fields: Sequence[str]) -> Column:
-    """The state of two neighbouring windows; the earlier one is NULL before the first row."""
-    zero, none = F.lit(0.0), F.lit(0).cast("bigint")
-    n_early, n_late = F.coalesce(early["n"], none), late["n"]
-    parts = {"n": n_early + n_late, "sum": F.coalesce(early["sum"], zero) + late["sum"]}
-    if "sq" in fields:
-        gap = early["sum"] / n_early - late["sum"] / n_late
-        apart = F.when((n_early > 0) & (n_late > 0), gap * gap * n_early * n_late / (n_early + n_late)).otherwise(zero)
-        parts["sq"] = F.coalesce(early["sq"], zero) + late["sq"] + apart
-    if "min" in fields:
-        parts["min"] = F.least(early["min"], late["min"])
-    if "max" in fields:
-        parts["max"] = F.greatest(early["max"], late["max"])
-    return F.struct(*[value.alias(name) for name, value in parts.items()])
+def _levels(window: int) -> int:
+    """The highest power of the radix that the window holds."""
+    level = 0
+    while RADIX ** (level + 1) <= window:
+        level += 1
+    return level
 
 
 def _pieces(window: int) -> list[tuple[int, int]]:
-    """(level, offset) of states that make up a window without overlap: powers of two, the latest rows first."""
+    """(level, offset) of states that make up a window without overlap, the latest rows first."""
     out, offset = [], 1
-    for level in reversed(range(window.bit_length())):
-        if window >> level & 1:
+    for level in reversed(range(_levels(window) + 1)):
+        size = RADIX**level
+        while window - (offset - 1) >= size:
             out.append((level, offset))
-            offset += 1 << level
+            offset += size
     return out
 
 
-def _doubled(df: DataFrame, spec: SeriesSpec, ordered, others: list[Column]) -> DataFrame:
+def _totals(states: Sequence[Column]) -> tuple[Column, Column]:
+    """(count, sum) of neighbouring windows; those before the first row are NULL."""
+    none, zero = F.lit(0).cast("bigint"), F.lit(0.0)
+    return reduce(add, [F.coalesce(s["n"], none) for s in states]), reduce(add, [F.coalesce(s["sum"], zero) for s in states])
+
+
+def _squares(states: Sequence[Column], total: Column, whole: Column) -> Column:
+    """Squared distances from the common mean: those inside each window, and those of the windows' means."""
+    mean = whole / total
+    parts = [F.when(s["n"] > 0, s["sq"] + s["n"] * F.pow(s["sum"] / s["n"] - mean, F.lit(2.0))).otherwise(0.0) for s in states]
+    return reduce(add, [F.coalesce(p, F.lit(0.0)) for p in parts])
+
+
+def _extreme(states: Sequence[Column], name: str) -> Column:
+    ends = [s[name] for s in states]
+    return (F.least if name == "min" else F.greatest)(*ends) if len(ends) > 1 else ends[0]
+
+
+def _layered(df: DataFrame, spec: SeriesSpec, ordered, others: list[Column]) -> DataFrame:
     """``others`` and the rolling statistics; the tables of states are built on the input's columns alone."""
     fields: dict[str, list[str]] = {}
     for _, source, stats in spec.rolled:
@@ -201,39 +218,45 @@ def _doubled(df: DataFrame, spec: SeriesSpec, ordered, others: list[Column]) ->
         single = [value.isNotNull().cast("bigint").alias("n"), F.coalesce(value.cast("double"), F.lit(0.0)).alias("sum")]
         single += [(F.lit(0.0) if f == "sq" else value).alias(f) for f in extra]
         out = out.withColumn(_table(source, 0), F.struct(*single))
-    for level in range(max(spec.windows, default=1).bit_length() - 1):
-        out = out.select("*", *[F.lag(_table(s, level), 1 << level).over(ordered).alias(f"_early_{s}") for s in fields])
-        out = out.withColumns(
-            {_table(s, level + 1): _merged(F.col(f"_early_{s}"), F.col(_table(s, level)), f) for s, f in fields.items()}
-        ).drop(*[f"_early_{s}" for s in fields])
-
-    lagged: dict[tuple[str, int, int], str] = {}
-
-    def state(source: str, level: int, offset: int) -> Column:
-        return F.col(lagged.setdefault((source, level, offset), f"_piece_{source}_{level}_{offset}"))
-
+    for level in range(_levels(max(spec.windows, default=1))):
+        early = {s: [f"_early_{s}_{j}" for j in range(1, RADIX)] for s in fields}
+        shifted = [
+            F.lag(_table(s, level), j * RADIX**level).over(ordered).alias(name) for s in fields for j, name in enumerate(early[s], 1)
+        ]
+        out = out.select("*", *shifted)
+        states = {s: [F.col(_table(s, level)), *map(F.col, early[s])] for s in fields}
+        sums = {s: _totals(states[s]) for s in fields}
+        out = out.select("*", *[c.alias(f"_{kind}_{s}") for s in fields for kind, c in zip(("n", "sum"), sums[s])])
+        merged = {}
+        for s, extra in fields.items():
+            n, total = F.col(f"_n_{s}"), F.col(f"_sum_{s}")
+            parts = [n.alias("n"), total.alias("sum")]
+            for f in extra:
+                value = F.when(n > 0, _squares(states[s], n, total)).otherwise(0.0) if f == "sq" else _extreme(states[s], f)
+                parts.append(value.alias(f))
+            merged[_table(s, level + 1)] = F.struct(*parts)
+        out = out.withColumns(merged).drop(*[c for s in fields for c in (*early[s], f"_n_{s}", f"_sum_{s}")])
+
+    wanted = {(s, *piece) for n in spec.windows for _, s, _ in spec.rolled for piece in _pieces(n)}
+    lagged = {key: f"_piece_{key[0]}_{key[1]}_{key[2]}" for key in sorted(wanted)}
+    shifted = [F.lag(_table(s, level), offset).over(ordered).alias(alias) for (s, level, offset), alias in lagged.items()]
+    out = out.select(*df.columns, *others, *shifted)
+    pieces = {(s, n): [F.col(lagged[s, *p]) for p in _pieces(n)] for n in spec.windows for s in fields}
+    sums = {key: _totals(states) for key, states in pieces.items()}
+    out = out.select("*", *[c.alias(f"_{kind}_{s}_{n}") for (s, n), both in sums.items() for kind, c in zip(("n", "sum"), both)])
     results: dict[str, Column] = {}
     for n in spec.windows:
-        top = n.bit_length() - 1
         for name, source, stats in spec.rolled:
-            parts = [state(source, *piece) for piece in _pieces(n)]
-            total = sum((F.coalesce(p["n"], F.lit(0).cast("bigint")) for p in parts[1:]), F.coalesce(parts[0]["n"], F.lit(0).cast("bigint")))
-            whole = sum((F.coalesce(p["sum"], F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0]["sum"], F.lit(0.0)))
+            states, total, whole = pieces[source, n], F.col(f"_n_{source}_{n}"), F.col(f"_sum_{source}_{n}")
             for stat in stats:
                 if stat == "mean":
                     value = whole / total
                 elif stat == "std":
-                    mean = whole / total
-                    spread = [F.when(p["n"] > 0, p["sq"] + p["n"] * F.pow(p["sum"] / p["n"] - mean, F.lit(2.0))) for p in parts]
-                    square = sum((F.coalesce(s, F.lit(0.0)) for s in spread[1:]), F.coalesce(spread[0], F.lit(0.0)))
-                    value = F.when(total > 1, F.sqrt(square / (total - 1)))
+                    value = F.when(total > 1, F.sqrt(_squares(states, total, whole) / (total - 1)))
                 else:
-                    ends = [state(source, top, 1)[stat], state(source, top, 1 + n - (1 << top))[stat]]
-                    value = (F.least if stat == "min" else F.greatest)(*ends)
+                    value = _extreme(states, stat)
                 alias = spec.roll_pattern.format(name=name, stat=stat, n=n, unit=spec.unit)
                 results[alias] = F.when(total >= max(1, _needed(spec, n)), value)
-    shifted = [F.lag(_table(s, level), offset).over(ordered).alias(alias) for (s, level, offset), alias in lagged.items()]
-    out = out.select(*df.columns, *others, *shifted)
     return out.select(*df.columns, *[results[c].alias(c) if c in results else F.col(c) for c in _feature_names(spec)])
 
 

@@ -87,31 +87,36 @@ def test_one_exchange_for_all_features(spark):
     assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
 
 
-@pytest.mark.parametrize("windows", [(1, 2, 3), (6, 12, 24, 31), (7, 28, 64)])
-def test_doubled_windows_equal_frames(spark, windows):
+@pytest.mark.parametrize("windows", [(1, 2, 3), (6, 12, 24, 31), (7, 8, 28, 64, 73)])
+def test_layered_windows_equal_frames(spark, windows):
     df = series(spark, n=90).withColumn("pm25", F.when(F.rand(3) > 0.2, F.col("pm25")))
     df = spark.createDataFrame(df.toPandas(), df.schema).withColumn("pm25", F.when(~F.isnan("pm25"), F.col("pm25")))
     for needed in ("half", "full", 1):
         spec = replace(f.SERIES["pm25_daily"], windows=windows, min_periods=needed, horizons=(24,), target="pm25")
-        doubled = replace(spec, doubling=True)
+        layered = replace(spec, layered=True)
         assert_same(
-            f.series_features(df, spec, complete=False), f.series_features(df, doubled, complete=False), "region", "timestamp"
+            f.series_features(df, spec, complete=False), f.series_features(df, layered, complete=False), "region", "timestamp"
         )
-        blocks = f.series_features(df, doubled, complete=False, block_rows=13)
+        blocks = f.series_features(df, layered, complete=False, block_rows=13)
         assert_same(f.series_features(df, spec, complete=False), blocks, "region", "timestamp")
 
 
-def test_doubled_windows_of_a_constant_far_from_zero_have_no_spread(spark):
+def test_layered_windows_of_a_constant_far_from_zero_have_no_spread(spark):
     rows = [("a", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), 1e9 + 0.1) for h in range(300)]
     df = spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, pm25 double")
-    out = f.series_features(df, f.SERIES["pm25_hourly"], complete=False).agg(F.max("pm25_rolling_std_168h"), F.min("pm25_rolling_mean_72h"))
+    out = f.series_features(df, replace(f.SERIES["pm25_hourly"], layered=True), complete=False).agg(F.max("pm25_rolling_std_168h"), F.min("pm25_rolling_mean_72h"))
     assert tuple(out.first()) == (pytest.approx(0, abs=1e-6), pytest.approx(1e9 + 0.1, abs=1e-6))
 
 
-def test_doubling_shares_one_exchange_and_one_sort(spark):
-    executed = f.table_features(f.add_calendar(series(spark, n=30), True), "pm25_hourly")._jdf.queryExecution().executedPlan().toString()
-    assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
-    assert "168 preceding" not in executed.lower() and executed.count("Window [lag") == 8
+def test_layers_share_one_exchange_and_one_sort_and_are_taken_for_long_windows(spark):
+    plan = lambda spec: f.series_features(series(spark, n=30), spec)._jdf.queryExecution().executedPlan().toString()
+    spec = f.SERIES["pm25_hourly"]
+    assert plan(spec).count("Window [") == 1  # frames for all windows
+    for layered in (replace(spec, layered=True), replace(spec, windows=(24, 2000))):
+        executed = plan(layered)
+        assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Sort [") == 1
+    assert plan(replace(spec, layered=True)).count("Window [lag") == 3
+    assert plan(replace(spec, windows=(24, 2000))).count("Window [lag") == 4
 
 
 def test_row_numbers(spark):
@@ -247,7 +252,7 @@ def test_group_function(spark):
 
 
 def test_hourly_features_compile(spark, capfd):
-    """Generated code of the doubled windows stays below the compiler's limits."""
+    """Generated code of long windows stays below the compiler's limits."""
     t0 = dt.datetime(2024, 1, 1)
     rows = [("a", t0 + dt.timedelta(hours=h), float(h % 31)) for h in range(400)]
     df = spark.createDataFrame(rows, "region string, timestamp timestamp_ntz, pm25 double")
