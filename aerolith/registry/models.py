@@ -86,7 +86,7 @@ def _training_view(spark, sf_dir):
 
 
 # The production setting but for the rounds: README has the seconds of a round and what 3,000 would take.
-ROUNDS = 100
+ROUNDS = 60
 _PARAMS = TreeParams(rounds=ROUNDS)
 
 
