@@ -98,5 +98,27 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+#: Words, their crc32 by a table of 256 entries, neighbours by equal remainders after a letter is left out, and chains.
+_SPELLING = """
+WITH RECURSIVE
+table_ AS (SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents),
+lowered AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (SELECT w, n, flatten(list_transform(string_split(doc_id || ':' || w, ''),
+  lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(ch) - 64 AS BIGINT)] END)) AS b FROM lowered),
+hashed AS (SELECT w, n, xor(list_reduce(b, lambda c, x: xor(c // 256, t[CAST(xor(c, x) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS h FROM bytes, table_),
+words AS (SELECT n, CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+longer AS (SELECT DISTINCT c.word, c.less AS near FROM cut c JOIN v ON v.word = c.less),
+pairs AS (SELECT word, near FROM longer UNION ALL SELECT near, word FROM longer
+  UNION ALL SELECT a.word, b.word FROM cut a JOIN cut b ON a.i = b.i AND a.less = b.less AND length(a.word) = length(b.word) AND a.word <> b.word),
+best AS (SELECT p.word, count(*) AS n_near, min({'m': -v.n, 'w': v.word}) AS b FROM pairs p JOIN v ON v.word = p.near GROUP BY 1),
+forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 10 * v.n THEN b.w END AS form, CASE WHEN -b.m >= 10 * v.n THEN -b.m END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+chain AS (SELECT word, word AS root FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word JOIN forms r ON r.word = c.root AND r.form IS NULL
+"""
+
 #: SQL for those that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_spelling_variants": _SPELLING}

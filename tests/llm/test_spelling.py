@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,7 @@ def test_query_on_a_whole_table(spark, documents):
     assert len(words) > 1000
     found = queries.op12_spelling_variants(spark, "/root/testdata/sf0.001")
     assert rows_of(found) == brute(counts, by_wildcards(words))
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    theirs = con.sql(queries.ORACLES["op12_spelling_variants"])
+    assert theirs.columns == found.columns and sorted(theirs.fetchall()) == rows_of(found)
