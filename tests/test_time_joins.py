@@ -1,6 +1,9 @@
 import datetime as dt
 import random
+import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +131,25 @@ def test_nearest_of_many_equals_the_full_comparison(spark, shape):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_nearest_of_many_beyond_all_centroids_takes_no_full_comparison(spark):
+    """Most points lie outside the centroids' box, where a ring as wide as their distance holds a large part of all."""
+    n, m = 12_000, 40_000
+    grid = lambda i, by, top, low, step: low + (i * by) % top * step
+    i, j = np.arange(n), np.arange(m)
+    fixed = np.stack([grid(i, 7919, 1009, 1.2, 0.00025), grid(i, 104729, 2003, 103.6, 0.00021)], 1)
+    points = np.stack([grid(j, 31, 3001, 1.0, 0.0003), grid(j, 17, 4001, 103.3, 0.0003)], 1)
+    centroids = spark.createDataFrame(pd.DataFrame({"place": i, "name": i.astype(str), "lat": fixed[:, 0], "lon": fixed[:, 1]}))
+    df = spark.createDataFrame(pd.DataFrame({"id": j, "latitude": points[:, 0], "longitude": points[:, 1]}))
+    start = time.monotonic()
+    got = {r.id: int(r.region) for r in places.nearest_of_many(df, centroids).collect()}
+    assert time.monotonic() - start < 90
+    assert len(got) == m
+    for k in range(0, m, 500):
+        at = points[k : k + 500, None, :] - fixed[None]
+        want = (at[..., 0] * at[..., 0] + at[..., 1] * at[..., 1]).argmin(1)
+        assert [got[x] for x in range(k, k + 500)] == want.tolist()
+
+
 def test_nearest_without_centroids_or_points(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0)], "id int, latitude double, longitude double")
     none = spark.createDataFrame([(0, "x", None, 1.0)], "place int, name string, lat double, lon double")
