@@ -199,21 +199,27 @@ def daily_ingest_increment(spark, sf_dir):
     return a.rounded(read_table(spark, root, "pm25_hourly"))
 
 
+#: Rows of a file of the stream's landing folder.
+_ROWS_PER_FILE = 200_000
+
+
 def _event_stream(spark, sf_dir):
-    """The readings as a stream of files in reverse order of time, one file a batch.
+    """The readings as a stream of three deliveries in reverse order of time, one a batch.
 
+    A delivery is as many files as its rows need, however many tasks wrote the table: a batch of a single file would
+    be a slice of all days of its third, and every batch rewrites the folders that it touches.
     Watermarks need instants, so the clock is read as UTC.
     """
     events = a.table(spark, sf_dir, "events")
-    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count("ts").alias("n")).first()
     landing = work_path(spark, "landing")
-    third = (ends.high - ends.low) / 3
+    third, n_files = (ends.high - ends.low) / 3, -(-ends.n // (3 * _ROWS_PER_FILE)) or 1
     for k in (2, 1, 0):
         part = events.filter(F.col("ts") >= F.lit(ends.low + k * third)) if k else events
         if k < 2:
             part = part.filter(F.col("ts") < F.lit(ends.low + (k + 1) * third))
-        part.write.mode("append").parquet(landing)
-    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        part.repartition(n_files).write.mode("append").parquet(landing)
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", n_files).parquet(landing)
     user = F.col("user_id")
     return files.select(
         "event_id",

@@ -11,6 +11,7 @@ from aerolith.operators.forecast import forecast_regions, forecast_state, linear
 from aerolith.operators.model import TreeParams, evaluate, feature_importance, features_of, fit, score
 from aerolith.operators.rollup import region_hour_scalar
 from aerolith.plans import backfill, ingest, predict, train
+from aerolith.registry import stored
 from aerolith.schemas import FEATURE_TABLES, TableSpec
 from aerolith.session import materialize
 from aerolith.sinks.tables import create_table
@@ -252,3 +253,19 @@ def test_short_deliveries_build_up_history(spark, tmp_path):
     got = {tuple(r) for r in read_table(spark, root, "pm25_daily").select("timestamp", "pm25_lag_28d").collect()}
     want = {tuple(r) for r in table_features(add_calendar(base, False), "pm25_daily").select("timestamp", "pm25_lag_28d").collect()}
     assert got == want and len(want) == 6
+
+
+def test_a_delivery_is_a_batch_however_many_tasks_wrote_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "_ROWS_PER_FILE", 100, raising=False)
+    moment = F.expr("timestampadd(MINUTE, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01')")
+    events = spark.range(0, 900, 1, 8).select(
+        F.col("id").alias("event_id"), moment.alias("ts"), (F.col("id") % 5).alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.5).alias("value"), F.lit("").alias("props"),
+    )
+    events.repartition(8).write.parquet(str(tmp_path / "events.parquet"))
+    batches = []
+    stream = stored._event_stream(spark, str(tmp_path))
+    note = lambda batch, _: batches.append([r.event_id for r in batch.select("event_id").collect()])
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [len(b) for b in batches] == [300, 300, 300]
+    assert min(batches[0]) > max(batches[1]) and min(batches[1]) > max(batches[2])
