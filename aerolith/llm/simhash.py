@@ -131,7 +131,8 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
         first_segment = first_segment & ((F.col("bit") < high) | (F.bit_count(x.bitwiseAND(mask)) > 1))
     near = F.bit_count(x) <= radius
     meet = (F.col("bit") == F.col("bit_b")) & (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b"))
-    return left.join(right, meet & one_key & first_segment & near).select("a", "b")
+    # Spark sizes the 64 rows of a fingerprint as one; it would broadcast them while the file of fingerprints is small.
+    return left.join(right.hint("merge"), meet & one_key & first_segment & near).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:

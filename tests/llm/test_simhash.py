@@ -4,8 +4,10 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from aerolith.llm import simhash
+from aerolith.llm.common import stored
 
 
 def brute_fingerprint(text):
@@ -88,6 +90,15 @@ def test_each_link_once(spark):
         assert sorted(tuple(r) for r in simhash.links(nodes, radius).collect()) == expected
 
 
+def test_exploded_fingerprints_are_not_broadcast(spark):
+    """A file of fingerprints is small long after its 64 rows a fingerprint are too large for the driver."""
+    nodes = stored(spark.range(1000).select(F.xxhash64("id").alias("fp")), "fingerprints-to-link")
+    found = simhash.links(nodes)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 200)], "a long, b long")
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
