@@ -228,10 +228,12 @@ def contaminated(
     # One passage may be in a third of all documents: its seeds are dealt over many keys.
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     known_grams = by_gram.join(spread, "gram").withColumn("salt", salts)
-    shared = grams.withColumn("salt", F.pmod("stretch", F.lit(_SALTS)).cast("int")).join(known_grams, ["gram", "salt"])
+    # Spark sizes a stretch's grams as one row, and its file is small where stretches repeat: neither is broadcast.
+    dealt = grams.withColumn("salt", F.pmod("stretch", F.lit(_SALTS)).cast("int"))
+    shared = dealt.join(known_grams.hint("merge"), ["gram", "salt"])
     pairs = shared.groupBy("stretch", "item").agg(F.min("items").alias("fewest"), F.countDistinct("gram").alias("n"))
     pairs = pairs.where((F.col("fewest") <= rare) | (F.col("n") >= 2)).select("stretch", "item")
-    rows = places.drop("grams").join(pairs, "stretch").join(texts, "item")
+    rows = places.drop("grams").join(pairs.hint("merge"), "stretch").join(texts, "item")
     rows = rows.select("doc_id", "item_id", "first_word", "words", "item_words")
     scored = rows.mapInArrow(_aligned, "doc_id long, item_id long, score double, end_word long")
     best = scored.where(F.col("score") >= least).groupBy("doc_id", "item_id")

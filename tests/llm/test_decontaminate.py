@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,11 @@ def test_edited_copies_leaked_more_often_than_rare(spark):
     assert len(set(d.gram_hashes(d.words_of(items[0][1]), 5).tolist()) & set(d.gram_hashes(d.words_of(docs[0][1]), 5).tolist())) == 1
     got = found(d.contaminated(left, right))
     assert got == brute(docs, items) and len(got) == 120
+
+
+def test_what_documents_hold_is_not_broadcast(spark, planted):
+    """Grams and words of stretches are more than their file's size tells."""
+    docs = spark.createDataFrame(planted[0][:60], "doc_id long, text string")
+    items = spark.createDataFrame(planted[1], "item_id long, text string")
+    plan = d.contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[gram#\w+, salt#", plan) and re.search(r"SortMergeJoin \[stretch#", plan)
