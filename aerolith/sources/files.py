@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +17,29 @@ from aerolith.functions.times import parse_day, parse_instant
 _CORRUPT = "_corrupt_line"
 
 
+_LISTING, _LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", threading.Lock()
+
+
+@contextmanager
+def _listing(spark: SparkSession):
+    """Folders are listed by a few tasks a core: a task each, as is usual below 10,000 folders, costs far more than its list."""
+    with _LISTERS:
+        before = spark.conf.get(_LISTING)
+        spark.conf.set(_LISTING, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+        try:
+            yield
+        finally:
+            spark.conf.set(_LISTING, before)
+
+
 def _csv(spark: SparkSession, path, schema: str, pattern: str | None = None, mode: str = "PERMISSIVE", **options):
     reader = spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", True)
     for key, value in options.items():
         reader = reader.option(key, value)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(path)
+    with _listing(spark):
+        return reader.csv(path)
 
 
 def read_reading_dump(spark: SparkSession, path, value: str = "reading_value", mode: str = "PERMISSIVE") -> DataFrame:

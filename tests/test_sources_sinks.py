@@ -178,3 +178,25 @@ def test_rejected_lines(spark, tmp_path):
         [("a.csv", "corrupt", lines[1]), ("a.csv", "corrupt", lines[2]), ("a.csv", "no station_name", lines[3]), ("a.csv", "corrupt", lines[5])]
     )
     assert {r.reason: r["count"] for r in rows.groupBy("reason").count().collect()} == {"corrupt": 3, "no station_name": 1}
+
+
+def test_many_station_folders_are_listed_by_few_tasks(spark, tmp_path):
+    stations, path = 60, str(tmp_path / "stations")
+    names = [c.split()[0] for c in schemas.STATION_HOURLY_SPEED.replace("\n", " ").split(",")]
+    values = {"station_name": F.concat(F.lit("Old / "), "id"), "timestamp": F.lit("2024-01-01T00:00:00Z")}
+    rows = spark.range(stations).select(*[values.get(n, F.lit(None).cast("string")).alias(n) for n in names])
+    sink_files.write_station_csv(rows, path)
+    threshold, tasks = "spark.sql.sources.parallelPartitionDiscovery.threshold", "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, status = spark.conf.get(threshold), spark.sparkContext.statusTracker()
+    usual = spark.conf.get(tasks)
+    spark.conf.set(threshold, "8")
+    spark.sparkContext.setJobGroup("station-listing", "")
+    try:
+        found = files.read_station_files(spark, path)
+    finally:
+        spark.conf.set(threshold, before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in status.getJobIdsForGroup("station-listing") for s in status.getJobInfo(j).stageIds]
+    assert stages and max(status.getStageInfo(s).numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism < stations
+    assert spark.conf.get(tasks) == usual
+    assert {r.station_name for r in found.collect()} == {f"Old / {i}" for i in range(stations)}
