@@ -1,5 +1,7 @@
 """The model queries fit for real, and what they return holds."""
 
+import dataclasses
+
 import oracle
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +27,30 @@ def test_queries_change_nothing_of_the_setting_but_the_rounds():
     assert models._PARAMS == m.TreeParams(rounds=models.ROUNDS) and m.TreeParams().rounds == 3000
 
 
+def test_the_metrics_are_those_of_the_whole_setting(spark, monkeypatch):
+    """The query's own fits, of few rounds here, for which it asks with the production setting."""
+    asked, whole = [], models.fit_regions
+
+    def short(view, regions, test_start, params):
+        asked.append(params)
+        return whole(view, regions, test_start, dataclasses.replace(params, rounds=2))
+
+    monkeypatch.setattr(models, "fit_regions", short)
+    found = models.gbt_test_metrics(spark, SF).collect()
+    assert asked == [m.TreeParams()] and asked[0].rounds == 3000
+    assert sorted(r.region for r in found) == sorted(models.REGION_NAMES) and all(r.n > 0 for r in found)
+
+
+def test_tasks_of_a_round_carry_no_long_lineage(rows, monkeypatch):
+    """The booster reads files of vectors, not the plan that made them."""
+    seen, whole = [], m.GBTRegressor.fit
+    monkeypatch.setattr(m.GBTRegressor, "fit", lambda self, df: seen.append(df) or whole(self, df))
+    model = m.fit(rows, ["f0", "f1"], params=m.TreeParams(rounds=1))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and plan.count("\n") <= 2
+    assert [type(s).__name__ for s in model.stages] == ["SQLTransformer", "VectorAssembler", "GBTRegressionModel"]
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """The label depends on f0, on whether f1 is there, and not on f2."""
